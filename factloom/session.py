@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -17,11 +19,12 @@ def ship(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     home = Path(__file__).resolve().parent
-    with tempfile.TemporaryDirectory() as folder:
-        with zipfile.ZipFile(f"{folder}/{home.name}.zip", "w") as z:
-            for p in home.rglob("*.py"):
-                z.write(p, p.relative_to(home.parent))
-        spark.sparkContext.addPyFile(z.filename)
+    folder = tempfile.mkdtemp(prefix="factloom-code-")  # the driver serves it as long as it lives
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with zipfile.ZipFile(f"{folder}/{home.name}.zip", "w") as z:
+        for p in home.rglob("*.py"):
+            z.write(p, p.relative_to(home.parent))
+    spark.sparkContext.addPyFile(z.filename)
     _SHIPPED.add(app)
 
 
