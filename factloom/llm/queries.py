@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from factloom.session import table
 
+from .neighbours import nearest
 from .packing import pack_documents
 from .quality import fit_quality, score_quality
 from .sharding import shuffle_into_shards
+from .simhash import simhash_groups
 from .urls import judge_urls
 
 #: (verdict, host, path) as the URL contract states them.
@@ -34,6 +36,11 @@ def op2_pack_best_fit(spark: SparkSession, sf_dir: str, vocabulary: str | None =
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary or public_vocabulary())
 
 
+def op3_neighbours_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of all embeddings for every fiftieth one."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality score of every document, learnt from labels outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
@@ -46,6 +53,12 @@ def op7_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    groups = simhash_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def url_oracle() -> str:
     """The same rules as plain string comparisons."""
     rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
@@ -62,8 +75,10 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 QUERIES = {
     "op1_shard_hypergeometric": op1_shard_hypergeometric,
     "op2_pack_best_fit": op2_pack_best_fit,
+    "op3_neighbours_additive": op3_neighbours_additive,
     "op5_quality_neighbours": op5_quality_neighbours,
     "op7_url_automaton": op7_url_automaton,
+    "op10_simhash_pigeonhole": op10_simhash_pigeonhole,
 }
 
 ORACLES = {"op7_url_automaton": url_oracle()}
