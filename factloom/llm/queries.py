@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from factloom.session import table
 
+from .decontaminate import contaminated
 from .neighbours import nearest
 from .packing import pack_documents
+from .pseudonyms import pseudonymise_documents
 from .quality import fit_quality, score_quality
 from .sharding import shuffle_into_shards
 from .simhash import simhash_groups
@@ -48,11 +50,22 @@ def op5_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs.select("doc_id", "text"), model).select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_decontaminate_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item; other documents have no row."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule and verdict for every page's url."""
     return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_pii_feistel(spark: SparkSession, sf_dir: str, key: bytes = b"factloom test key") -> DataFrame:
+    """Every document with its pseudonymised text; a deployment passes its own key."""
+    done = pseudonymise_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), key)
+    return done.select("doc_id", "text", (F.size("found") > 0).alias("changed"), F.size("found").cast("int").alias("n_found"))
+
+
 def op10_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     groups = simhash_groups(table(spark, sf_dir, "documents"))
@@ -77,7 +90,9 @@ QUERIES = {
     "op2_pack_best_fit": op2_pack_best_fit,
     "op3_neighbours_additive": op3_neighbours_additive,
     "op5_quality_neighbours": op5_quality_neighbours,
+    "op6_decontaminate_templates": op6_decontaminate_templates,
     "op7_url_automaton": op7_url_automaton,
+    "op8_pii_feistel": op8_pii_feistel,
     "op10_simhash_pigeonhole": op10_simhash_pigeonhole,
 }
 
