@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from factloom.session import table
 
 from .decontaminate import contaminated
+from .lines import dedup_lines
 from .neighbours import nearest
 from .packing import pack_documents
 from .pseudonyms import pseudonymise_documents
@@ -66,6 +67,12 @@ def op8_pii_feistel(spark: SparkSession, sf_dir: str, key: bytes = b"factloom te
     return done.select("doc_id", "text", (F.size("found") > 0).alias("changed"), F.size("found").cast("int").alias("n_found"))
 
 
+def op9_line_dedup_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that repeat an earlier one, and the numbers of those lines."""
+    done = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "text", "removed", F.size("removed").cast("int").alias("n_removed"))
+
+
 def op10_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     groups = simhash_groups(table(spark, sf_dir, "documents"))
@@ -93,6 +100,7 @@ QUERIES = {
     "op6_decontaminate_templates": op6_decontaminate_templates,
     "op7_url_automaton": op7_url_automaton,
     "op8_pii_feistel": op8_pii_feistel,
+    "op9_line_dedup_segments": op9_line_dedup_segments,
     "op10_simhash_pigeonhole": op10_simhash_pigeonhole,
 }
 
