@@ -15,6 +15,7 @@ from .pseudonyms import pseudonymise_documents
 from .quality import fit_quality, score_quality
 from .sharding import shuffle_into_shards
 from .simhash import simhash_groups
+from .suffixes import repeated_passages
 from .urls import judge_urls
 
 #: (verdict, host, path) as the URL contract states them.
@@ -44,6 +45,11 @@ def op3_neighbours_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op4_repeats_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of 50 words or more that another document holds too."""
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality score of every document, learnt from labels outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
@@ -96,6 +102,7 @@ QUERIES = {
     "op1_shard_hypergeometric": op1_shard_hypergeometric,
     "op2_pack_best_fit": op2_pack_best_fit,
     "op3_neighbours_additive": op3_neighbours_additive,
+    "op4_repeats_suffix_array": op4_repeats_suffix_array,
     "op5_quality_neighbours": op5_quality_neighbours,
     "op6_decontaminate_templates": op6_decontaminate_templates,
     "op7_url_automaton": op7_url_automaton,
