@@ -74,14 +74,18 @@ def _aligned(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _windows(aligned: DataFrame, width: int) -> DataFrame:
-    """(_id, at, hash, slots): a row for each window; slots are the raw values behind placeholders."""
-    slot = lambda i: F.struct(F.get("_t", i).alias("kind"), F.lower(F.regexp_replace(F.get("_r", i), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")).alias("value"))
-    at = F.col("at")
-    return aligned.where(F.size("_t") >= width).select("_id", "_t", "_r", F.explode(_starts(F.col("_t"), width)).alias("at")).select(
-        "_id", "at", _window_hash(_hashes(F.slice("_t", at + 1, width)), F.lit(0), width).alias("hash"),
-        F.filter(F.array(*[slot(at + k) for k in range(width)]), lambda s: s["kind"].isin(NAME, NUMBER, UNIT)).alias("slots"),
-        F.lit(width).alias("width"),
-    )
+    """(_id, at, hash, slots, width): a row for each window; slots are the values behind its placeholders."""
+    bare = lambda w: F.lower(F.regexp_replace(w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
+    words = F.transform(F.arrays_zip(F.col("_t").alias("kind"), F.col("_r").alias("value")), lambda z: F.struct(z["kind"].alias("kind"), F.when(z["kind"].isin(NAME, NUMBER, UNIT), bare(z["value"])).alias("value")))
+    ready = aligned.where(F.size("_t") >= width).select("_id", _hashes(F.col("_t")).alias("_h"), words.alias("_z"))
+
+    def window(at: Column) -> Column:
+        near = F.array(*[F.get("_z", at + k) for k in range(width)])
+        return F.struct(at.alias("at"), _window_hash(F.col("_h"), at, width).alias("hash"), F.filter(near, lambda z: z["kind"].isin(NAME, NUMBER, UNIT)).alias("slots"))
+
+    # The generator makes the windows, so that no row carries a document's words.
+    rows = ready.select("_id", F.explode(F.transform(_starts(F.col("_h"), width), window)).alias("w"))
+    return rows.select("_id", "w.at", "w.hash", "w.slots", F.lit(width).alias("width"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, run: int = 13, literals: int = 4, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
