@@ -204,7 +204,8 @@ def repeated_passages(df: DataFrame, least: int = 50, id_col: str = "doc_id", te
     if least < SPAN + GRAM:
         raise ValueError(f"least must be {SPAN + GRAM} or more")
     docs = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), text_of(text_col).alias("_text"))
-    shared = heads(docs, least).groupBy("head").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("head")
+    # Settled: with an exchange of its own on either side, the join can split a head that fills the corpus.
+    shared = settle(heads(docs, least).groupBy("head").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("head"))
     places = settle(heads(docs, least).join(shared, "head", "left_semi").groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list("place").alias("_places")))
     size = places.agg(F.sum(F.size("_places") * 4 + 24).alias("n")).first()["n"] or 0
     rows = settle(suffix_rows(docs.join(small_or_shuffled(places, size), docs["_id"] == places["_doc"]).select("_id", "_text", "_places"), least))
