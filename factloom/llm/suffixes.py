@@ -13,6 +13,7 @@ word in every split, to ``least`` words. Overlapping matches merge to passages.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -96,20 +97,23 @@ def suffix_rows(docs: DataFrame, least: int) -> DataFrame:
     """(head, doc_id, place, before, after): suffixes at ``_places`` with the words around the head."""
     head, side = least - SPAN + 1, SPAN - 1
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def around(doc: int, text: str, places: list[int]) -> list[pa.Array]:
+        words = word_hashes(text)
+        at = np.unique(np.asarray(places, np.int64))
+        short = np.maximum((words >> np.uint64(32)).astype(np.uint32), 1)  # 0: no word there
+        padded = np.concatenate([np.zeros(side, np.uint32), short, np.zeros(side, np.uint32)])
+        near = at[:, None] + np.arange(side)
+        fixed = lambda x: pa.Array.from_buffers(pa.binary(side * 4), len(at), [None, pa.py_buffer(np.ascontiguousarray(x).tobytes())]).cast(pa.binary())
+        return [pa.array(gram_hashes(words, head)[at].view(np.int64)), pa.array(np.full(len(at), doc, np.int64)), pa.array(at.astype(np.int32)), fixed(padded[near][:, ::-1]), fixed(padded[near + side + head])]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["head", "doc_id", "place", "before", "after"]
         for batch in batches:
-            for doc, text, places in zip(batch["_id"], batch["_text"], batch["_places"]):
-                words = word_hashes(text)
-                places = np.unique(np.asarray(places, np.int64))
-                short = np.maximum((words >> np.uint64(32)).astype(np.uint32), 1)  # 0: no word there
-                padded = np.concatenate([np.zeros(side, np.uint32), short, np.zeros(side, np.uint32)])
-                near = places[:, None] + np.arange(side)
-                yield pd.DataFrame({
-                    "head": gram_hashes(words, head)[places].view(np.int64), "doc_id": doc, "place": places.astype(np.int32),
-                    "before": [x.tobytes() for x in padded[near][:, ::-1]], "after": [x.tobytes() for x in padded[near + side + head]],
-                })
-
-    return docs.mapInPandas(run, "head long, doc_id long, place int, before binary, after binary")
+            rows = zip(*(c.to_pylist() for c in batch.columns))
+            while part := list(islice(rows, 64)):
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in zip(*(around(*r) for r in part))], names)
+
+    return docs.select("_id", "_text", "_places").mapInArrow(run, "head long, doc_id long, place int, before binary, after binary")
 
 
 def _matches(least: int):
