@@ -41,9 +41,9 @@ def edge_hash(edge_type: Column, source: Column, target: Column, properties: Col
 
 
 def _quoted(value: Column) -> Column:
-    """A JSON string literal, by the JSON writer's own rules."""
+    """A JSON string literal, by the JSON writer's own rules; null for null."""
     text = F.to_json(F.struct(value.alias("v")))
-    return text.substr(F.lit(6), F.length(text) - 6)
+    return F.when(value.isNotNull(), text.substr(F.lit(6), F.length(text) - 6))
 
 
 @dataclass(frozen=True)
