@@ -428,3 +428,82 @@ def last_declaration(spark: SparkSession, d: str) -> DataFrame:
 def json_property_filter(spark: SparkSession, d: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("long")
     return table(spark, d, "events").select("event_id", k.alias("k")).where("k < 10")
+
+
+# --- extraction, over sources made of the parts ------------------------------
+
+
+def _sources(spark: SparkSession, d: str) -> DataFrame:
+    """A Java file, an interface file and a manifest for each part."""
+    key = F.col("p_partkey").cast("string")
+    n = lambda m: (F.col("p_partkey") % m).cast("string")
+    java = F.concat(
+        F.lit("package com.p"), n(5), F.lit(";\n// class Ghost extends IGhost.Stub { }\nimport com.aidl.I"), n(7), F.lit(";\nclass S"), key, F.lit(" extends I"), n(7), F.lit('.Stub {\n  static final String NAME = "svc'), key,
+        F.lit('";\n  @RequiresPermission("perm.'), n(3), F.lit('")\n  void go() {\n    ServiceManager.addService(NAME, this);\n    checkPermission("perm.'), n(4), F.lit('");\n    LocalServices.addService(S'), key, F.lit(".class, new S"), key, F.lit("());\n  }\n}\n"),
+    )
+    aidl = F.concat(F.lit("package com.aidl;\ninterface J"), key, F.lit(" { int a(int x); /* void no(); */ oneway void b(in List<String> y, "), n(4), F.lit("); const int C = 1; }\n").cast("string"))
+    xml = F.concat(F.lit('<manifest xmlns:android="http://schemas.android.com/apk/res/android"><permission android:name="perm.'), key, F.lit('"/>'), F.when(F.col("p_partkey") % 10 == 0, "<broken>").otherwise("</manifest>"))
+    shared = spark.range(7).select(F.concat(F.lit("aidl/I"), F.col("id").cast("string"), F.lit(".aidl")).alias("path"), F.concat(F.lit("package com.aidl; interface I"), F.col("id").cast("string"), F.lit(" { void run(); }")).alias("text"))
+    part = table(spark, d, "part").select("p_partkey")
+    files = part.select(F.explode(F.array(*[F.struct(F.concat(F.lit(f"{kind}/"), key, F.lit(f".{kind}")).alias("path"), text.alias("text")) for kind, text in (("java", java), ("aidl", aidl), ("xml", xml))])).alias("f")).select("f.*")
+    return files.unionByName(shared)
+
+
+def _tags(spark: SparkSession, d: str) -> DataFrame:
+    """What a symbol listing says of the Java files; every class but each fifth extends the class before it."""
+    key = F.col("p_partkey")
+    name, path = F.concat(F.lit("S"), key.cast("string")), F.concat(F.lit("java/"), key.cast("string"), F.lit(".java"))
+    parent = F.when(key % 5 != 0, F.concat(F.lit("com.p"), ((key - 1) % 5).cast("string"), F.lit(".S"), (key - 1).cast("string")))
+    none = F.lit(None).cast("string")
+    row = lambda kind, own, line, scope, scope_kind, inherits: F.struct(F.lit(kind).alias("kind"), own.alias("name"), F.lit(line).cast("long").alias("line"), scope.alias("scope"), F.lit(scope_kind).cast("string").alias("scopeKind"), inherits.alias("inherits"))
+    rows = F.array(row("class", name, 4, none, None, parent), row("method", F.lit("go"), 7, name, "class", none), row("field", F.lit("NAME"), 5, name, "class", none))
+    listed = table(spark, d, "part").select("p_partkey", path.alias("path"), F.posexplode(rows).alias("i", "t"))
+    return listed.select("t.kind", "t.name", "path", "t.line", "t.scope", "t.scopeKind", F.when(F.col("t.kind") == "method", "()").alias("signature"), none.alias("access"), none.alias("pattern"), "t.inherits", (F.col("p_partkey") * 3 + F.col("i")).alias("seq"))
+
+
+@registered("SELECT 'java/' || p_partkey || '.java' AS path, 'com.p' || (p_partkey % 5) AS package, 'S' || p_partkey AS class_name, 'I' || (p_partkey % 7) AS reference FROM part")
+def binder_impls(spark: SparkSession, d: str) -> DataFrame:
+    from factloom.sources.aidl import stub_subclasses
+
+    return stub_subclasses(_sources(spark, d).where("path like 'java/%'")).drop("imports")
+
+
+@registered("""SELECT 'aidl/' || p_partkey || '.aidl' AS path, m.name, m.return_type, m.signature FROM part, (SELECT unnest([1, 2]) AS i) t,
+  LATERAL (SELECT CASE i WHEN 1 THEN 'a' ELSE 'b' END AS name, CASE i WHEN 1 THEN 'int' ELSE 'void' END AS return_type, CASE i WHEN 1 THEN '(int x)' ELSE '(in List<String> y, ' || (p_partkey % 4) || ')' END AS signature) m
+  UNION ALL SELECT 'aidl/I' || i || '.aidl', 'run', 'void', '()' FROM (SELECT unnest(generate_series(0, 6)) AS i)""")
+def aidl_methods(spark: SparkSession, d: str) -> DataFrame:
+    from factloom.sources.aidl import parse_aidl
+
+    parsed = parse_aidl(_sources(spark, d).where("path like 'aidl/%'"))
+    return parsed.select("path", F.explode("methods").alias("m")).select("path", "m.name", "m.return_type", "m.signature")
+
+
+@registered("""SELECT 'java/' || p_partkey || '.java' AS path, CASE i WHEN 1 THEN 'ServiceManager.addService' ELSE 'LocalServices.addService' END AS api, CASE i WHEN 1 THEN 8 ELSE 10 END AS line,
+  CASE i WHEN 1 THEN 'svc' || p_partkey ELSE 'com.p' || (p_partkey % 5) || '.S' || p_partkey END AS resolved_key, 'com.p' || (p_partkey % 5) || '.S' || p_partkey AS instance FROM part, (SELECT unnest([1, 2]) AS i)""")
+def service_calls(spark: SparkSession, d: str) -> DataFrame:
+    """Calls with their keys, resolved through the files' constants, and the instances' types."""
+    from factloom.operators.extract import resolve_strings
+    from factloom.sources.java import parse_java
+
+    parsed = parse_java(_sources(spark, d).where("path like 'java/%'")).persist()
+    calls = parsed.select("path", F.explode("calls").alias("r")).select("path", "r.*", F.concat(F.lit("call:"), "path", F.lit(":"), F.col("r.offset").cast("string")).alias("id"))
+    keys = resolve_strings(parsed).select("id", F.col("value").alias("resolved_key"))
+    return calls.join(keys, "id", "left").select("path", "api", "line", "resolved_key", F.col("guess").alias("instance"))
+
+
+@registered("SELECT 'xml/' || p_partkey || '.xml' AS path, CASE WHEN p_partkey % 10 <> 0 THEN 'perm.' || p_partkey END AS name, p_partkey % 10 = 0 AS failed FROM part")
+def xml_declarations(spark: SparkSession, d: str) -> DataFrame:
+    from factloom.sources.files import xml_permissions
+
+    return xml_permissions(_sources(spark, d).where("path like 'xml/%'")).select("path", "name", F.col("error").isNotNull().alias("failed"))
+
+
+@registered("""SELECT edge_type, CAST(count AS BIGINT) AS count FROM (SELECT count(*) AS n, count(*) FILTER (WHERE p_partkey % 5 <> 0) AS heirs, count(*) FILTER (WHERE p_partkey % 10 <> 0) AS sound FROM part),
+  LATERAL (VALUES ('DECLARED_IN', 3 * n + 3 * n + 14 + 2 * n + sound), ('HAS_METHOD', n), ('HAS_MEMBER', n), ('EXTENDS', heirs), ('IMPLEMENTS_BINDER', n), ('AIDL_HAS_METHOD', 2 * n + 7), ('REGISTERS_BINDER_NAME', n), ('REGISTERS_LOCAL_KEY', n),
+    ('REGISTERS_INSTANCE', 2 * n), ('REGISTERED_AS', n), ('EXPOSED_AS_LOCAL_SERVICE', n), ('REQUIRES_PERMISSION', n), ('ENFORCES_PERMISSION', n)) v(edge_type, count)""")
+def full_graph_build(spark: SparkSession, d: str) -> DataFrame:
+    """The whole build, from texts and listings to merged edges, counted by type."""
+    from factloom.operators.extract import build_graph
+
+    graph, _ = build_graph(spark, _tags(spark, d), _sources(spark, d))
+    return graph.edges.groupBy("edge_type").agg(F.count("*").alias("count"))
