@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import settle, small_or_shuffled, text_of
 from .components import connected_components
+from .simhash import bits_apart
 
 
 def segments(length: int, parts: int) -> list[tuple[int, int]]:
@@ -177,7 +178,7 @@ def _meet(edits: int):
         sizes = np.diff(np.append(cut, len(group)))
 
         def close(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-            good = (np.bitwise_count(sketch[i] ^ sketch[j]) <= 4 * edits) & (row[i] != row[j]) & (asks[i] != asks[j])
+            good = (bits_apart(sketch[i], sketch[j]) <= 4 * edits) & (row[i] != row[j]) & (asks[i] != asks[j])
             return np.sort(np.stack([row[i[good]], row[j[good]]], axis=1), axis=1)
 
         few = np.flatnonzero(np.repeat((sizes > 1) & (sizes <= 64), sizes))

@@ -142,6 +142,11 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
+def bits_apart(a: np.ndarray, b: np.ndarray | np.int64) -> np.ndarray:
+    """In how many of their 64 bits signed numbers differ (numpy counts the bits of absolute values)."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def forest(fp: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """Links of a spanning forest of the values within ``distance`` bits of each other."""
     links, rest = [], np.unique(fp)
@@ -149,7 +154,7 @@ def forest(fp: np.ndarray, distance: int) -> list[tuple[int, int]]:
         queue, rest = [rest[0]], rest[1:]
         while queue and len(rest):
             at = queue.pop()
-            near = np.bitwise_count(rest ^ at) <= distance
+            near = bits_apart(rest, at) <= distance
             if near.any():
                 found = rest[near].tolist()
                 links += [(int(at), x) for x in found]
@@ -168,7 +173,7 @@ def _verified(distance: int):
             at = at[(key[at] == key[at + gap]).all(axis=1)]
             if not len(at):
                 return
-            close = at[(np.bitwise_count(fp[at] ^ fp[at + gap]) <= distance) & (fp[at] != fp[at + gap])]
+            close = at[(bits_apart(fp[at], fp[at + gap]) <= distance) & (fp[at] != fp[at + gap])]
             yield fp[close], fp[close + gap]
             gap += 1
 
