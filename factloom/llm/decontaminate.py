@@ -77,7 +77,8 @@ def _windows(aligned: DataFrame, width: int) -> DataFrame:
     """(_id, at, hash, slots, width): a row for each window; slots are the values behind its placeholders."""
     bare = lambda w: F.lower(F.regexp_replace(w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
     words = F.transform(F.arrays_zip(F.col("_t").alias("kind"), F.col("_r").alias("value")), lambda z: F.struct(z["kind"].alias("kind"), F.when(z["kind"].isin(NAME, NUMBER, UNIT), bare(z["value"])).alias("value")))
-    ready = aligned.where(F.size("_t") >= width).select("_id", _hashes(F.col("_t")).alias("_h"), words.alias("_z"))
+    # No filter on the number of words here: pushed down, it would compute the words twice, and of all documents.
+    ready = aligned.select("_id", _hashes(F.col("_t")).alias("_h"), words.alias("_z"))
 
     def window(at: Column) -> Column:
         near = F.array(*[F.get("_z", at + k) for k in range(width)])
@@ -115,7 +116,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, run: int
         # Every run of ``run`` words holds a window that starts at a multiple of this step.
         step = max(1, run - n + 1) if n == width else 1
         words = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.array_remove(F.split(marked(text_of(text_col)), r"\s+"), "").alias("_w"))
-        hashed = words.where(F.size("_w") >= n).select("_id", _hashes(typed(F.col("_w"))).alias("_h"))
+        hashed = words.select("_id", _hashes(typed(F.col("_w"))).alias("_h"))
         seen = hashed.select("_id", F.explode(_window_hashes(F.col("_h"), n, step)).alias("hash"))
         suspects = settle(seen.join(small_or_shuffled(hashes, count * 8), "hash", "left_semi").select("_id").distinct())
         near = docs.join(small_or_shuffled(suspects, suspects.count() * 16), docs[id_col] == suspects["_id"], "left_semi")
