@@ -123,13 +123,14 @@ def closure_exact(spark: SparkSession, d: str) -> DataFrame:
     return closure(warehouse_graph(spark, d).links("EXTENDS"))
 
 
-#: Parts in a ring of 50 with short cuts: ids such as P:1 are parts of others, so the two guards differ.
-RING = """ring AS (SELECT 'P:' || p_partkey AS from_node_id, 'P:' || ((p_partkey * 7 + 1) % 50) AS to_node_id FROM part WHERE p_partkey < 50)"""
+#: All parts, those of each fifty in rings: ids such as P:1 are parts of others, so the two guards differ.
+RING = """ring AS (SELECT 'P:' || p_partkey AS from_node_id, 'P:' || (p_partkey - p_partkey % 50 + (p_partkey * 7 + 1) % 50) AS to_node_id FROM part)"""
 
 
 def _ring(spark: SparkSession, d: str) -> DataFrame:
     ident = lambda x: F.concat(F.lit("P:"), x.cast("string"))
-    return table(spark, d, "part").where("p_partkey < 50").select(ident(F.col("p_partkey")).alias("from_node_id"), ident((F.col("p_partkey") * 7 + 1) % 50).alias("to_node_id"))
+    key = F.col("p_partkey")
+    return table(spark, d, "part").select(ident(key).alias("from_node_id"), ident(key - key % 50 + (key * 7 + 1) % 50).alias("to_node_id"))
 
 
 def _ring_sql(start: str, step: str, guard: str) -> str:
@@ -217,10 +218,10 @@ def innermost_interval(spark: SparkSession, d: str) -> DataFrame:
 
 @registered(graph_sql("""SELECT n.node_id, max_by(p.name, length(p.prefix)) AS repository FROM (SELECT * FROM node WHERE node_type = 'JAVA_CLASS') n
   LEFT JOIN prefixes p ON n.source_path = p.prefix OR starts_with(n.source_path, p.prefix || '/') GROUP BY 1""",
-  "prefixes AS (SELECT 'customer' AS prefix, 'customer' AS name UNION ALL SELECT 'supplier/tests', 'supplier tests' UNION ALL SELECT 'supplier', 'supplier' UNION ALL SELECT 'customer/' || n_nationkey, n_name FROM nation WHERE n_nationkey < 12)"))
+  "prefixes AS (SELECT 'customer' AS prefix, 'customer' AS name UNION ALL SELECT 'supplier/tests', 'supplier tests' UNION ALL SELECT 'supplier', 'supplier' UNION ALL SELECT 'customer/' || n_nationkey, n_name FROM nation WHERE n_regionkey > 1)"))
 def longest_prefix(spark: SparkSession, d: str) -> DataFrame:
     fixed = spark.createDataFrame([("customer", "customer"), ("supplier/tests", "supplier tests"), ("supplier", "supplier")], "prefix string, name string")
-    nations = table(spark, d, "nation").where("n_nationkey < 12").select(F.concat(F.lit("customer/"), F.col("n_nationkey").cast("string")).alias("prefix"), F.col("n_name").alias("name"))
+    nations = table(spark, d, "nation").where("n_regionkey > 1").select(F.concat(F.lit("customer/"), F.col("n_nationkey").cast("string")).alias("prefix"), F.col("n_name").alias("name"))
     nodes = warehouse_graph(spark, d).of_type("JAVA_CLASS").select("node_id", "source_path")
     return match.longest_prefix(nodes, fixed.unionByName(nations), "source_path", "prefix", "name").select("node_id", F.col("name").alias("repository"))
 
@@ -315,12 +316,12 @@ def collected_methods(spark: SparkSession, d: str) -> DataFrame:
 
 
 @registered("""SELECT coalesce(b.s_suppkey, c.c_custkey) AS path, coalesce(c.c_name, b.s_name) AS name, CASE WHEN c.c_custkey IS NOT NULL THEN 'config' ELSE 'manifest' END AS source
-  FROM (SELECT s_suppkey, s_name FROM supplier) b FULL JOIN (SELECT c_custkey, c_name FROM customer WHERE c_custkey % 3 = 0) c ON b.s_suppkey = c.c_custkey""")
+  FROM (SELECT s_suppkey, s_name FROM supplier) b FULL JOIN (SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 0) c ON b.s_suppkey = c.c_custkey""")
 def config_merge(spark: SparkSession, d: str) -> DataFrame:
     from factloom.plans.planner import merge_repositories
 
     manifest = table(spark, d, "supplier").select(F.col("s_suppkey").alias("path"), F.col("s_name").alias("name"))
-    config = table(spark, d, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("path"), F.col("c_name").alias("name"))
+    config = table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("path"), F.col("c_name").alias("name"))
     return merge_repositories([("manifest", manifest), ("config", config)])
 
 
@@ -344,20 +345,20 @@ def scheduled_repos(spark: SparkSession, d: str) -> DataFrame:
 
 
 @registered("""SELECT coalesce(a.p_partkey, b.p_partkey) AS p_partkey, CASE WHEN a.p_partkey IS NULL THEN 'added' WHEN b.p_partkey IS NULL THEN 'removed' ELSE 'modified' END AS change
-  FROM (SELECT p_partkey, p_size FROM part WHERE p_partkey % 3 <> 0) a FULL JOIN (SELECT p_partkey, p_size + CASE WHEN p_partkey % 5 = 0 THEN 1 ELSE 0 END AS p_size FROM part WHERE p_partkey % 7 <> 0) b USING (p_partkey)
+  FROM (SELECT p_partkey, p_size FROM part WHERE p_size > 10) a FULL JOIN (SELECT p_partkey, p_size + CASE WHEN p_brand < 'Brand#3' THEN 1 ELSE 0 END AS p_size FROM part WHERE p_retailprice > 1000) b USING (p_partkey)
   WHERE a.p_partkey IS NULL OR b.p_partkey IS NULL OR a.p_size <> b.p_size""")
 def map_diff(spark: SparkSession, d: str) -> DataFrame:
-    part = table(spark, d, "part").select("p_partkey", "p_size")
-    new = part.where("p_partkey % 7 != 0").withColumn("p_size", F.col("p_size") + F.when(F.col("p_partkey") % 5 == 0, 1).otherwise(0))
-    return integrity.map_diff(part.where("p_partkey % 3 != 0"), new, "p_partkey", "p_size")
+    part = table(spark, d, "part")
+    new = part.where("p_retailprice > 1000").withColumn("p_size", F.col("p_size") + F.when(F.col("p_brand") < "Brand#3", 1).otherwise(0))
+    return integrity.map_diff(part.where("p_size > 10"), new, "p_partkey", "p_size")
 
 
-@registered("SELECT 'C:' || c_custkey AS node_id, 'n/' || c_nationkey AS first_source, 'n/' || CASE WHEN c_custkey % 4 = 0 THEN 0 ELSE c_nationkey END AS replacement_source FROM customer WHERE c_custkey % 4 = 0 AND c_nationkey <> 0")
+@registered("SELECT 'C:' || c_custkey AS node_id, 'n/' || c_nationkey AS first_source, 'n/0' AS replacement_source FROM customer WHERE c_mktsegment = 'BUILDING' AND c_nationkey <> 0")
 def snapshot_diff(spark: SparkSession, d: str) -> DataFrame:
     c, path = F.col, lambda x: F.concat(F.lit("n/"), x.cast("string")).alias("source_path")
     rows = table(spark, d, "customer")
     ident = F.concat(F.lit("C:"), c("c_custkey").cast("string")).alias("node_id")
-    return integrity.moved(rows.select(ident, path(c("c_nationkey"))), rows.select(ident, path(F.when(c("c_custkey") % 4 == 0, 0).otherwise(c("c_nationkey")))))
+    return integrity.moved(rows.select(ident, path(c("c_nationkey"))), rows.select(ident, path(F.when(c("c_mktsegment") == "BUILDING", 0).otherwise(c("c_nationkey")))))
 
 
 @registered("SELECT o_orderkey, o_orderstatus FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)")
@@ -365,14 +366,14 @@ def baseline_anti(spark: SparkSession, d: str) -> DataFrame:
     return integrity.beyond_baseline(table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey")
 
 
-@registered("SELECT c_nationkey AS k FROM customer EXCEPT SELECT s_nationkey FROM supplier WHERE s_suppkey < 20 UNION ALL SELECT NULL WHERE false")
+@registered("SELECT c_nationkey AS k FROM customer EXCEPT SELECT s_nationkey FROM supplier WHERE s_acctbal < 2000 UNION ALL SELECT NULL WHERE false")
 def key_difference(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").select(F.col("c_nationkey").alias("k")).subtract(table(spark, d, "supplier").where("s_suppkey < 20").select("s_nationkey"))
+    return table(spark, d, "customer").select(F.col("c_nationkey").alias("k")).subtract(table(spark, d, "supplier").where("s_acctbal < 2000").select("s_nationkey"))
 
 
-@registered("SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier WHERE s_suppkey < 20")
+@registered("SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier WHERE s_acctbal < 2000")
 def key_intersection(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "customer").select(F.col("c_nationkey").alias("k")).intersect(table(spark, d, "supplier").where("s_suppkey < 20").select("s_nationkey"))
+    return table(spark, d, "customer").select(F.col("c_nationkey").alias("k")).intersect(table(spark, d, "supplier").where("s_acctbal < 2000").select("s_nationkey"))
 
 
 @registered(graph_sql("SELECT node_id, list_has_any(string_split(source_path, '/'), ['tests', 'out', '7']) AS excluded FROM node WHERE source_path IS NOT NULL"))
