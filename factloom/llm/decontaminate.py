@@ -105,16 +105,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, run: int
     read. An empty table on either side gives an empty result.
     """
     items = settle(_aligned(benchmark.where(F.col(item_col).isNotNull()), item_col, item_text_col))
-    sizes = [r[0] for r in items.select(F.least(F.size("_t"), F.lit(width)).alias("n")).distinct().collect()]
+    words_of = {r[0] for r in items.select(F.least(F.size("_t"), F.lit(max(run, width))).alias("n")).distinct().collect()}
+    shortest = min([n for n in words_of if n >= width], default=width)  # the fewest words that make a match, of items that fill a window
     found = None
-    for n in sorted(x for x in sizes if x > 1):
+    for n in sorted({min(x, width) for x in words_of if x > 1}):
         own = items.where(F.size("_t") >= width if n == width else F.size("_t") == n)
         kept = _windows(own, n).where(n - F.size("slots") >= min(literals, (n + 1) // 2)).join(own.select("_id", F.size("_t").alias("words")), "_id")
         kept = settle(kept.select(F.col("_id").alias("item"), F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"), "words", "width").distinct())
         count = kept.count()
         hashes = kept.select("hash").distinct()
-        # Every run of ``run`` words holds a window that starts at a multiple of this step.
-        step = max(1, run - n + 1) if n == width else 1
+        # Every run of words that makes a match holds a window that starts at a multiple of this step.
+        step = max(1, min(run, shortest) - n + 1) if n == width else 1
         words = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.array_remove(F.split(marked(text_of(text_col)), r"\s+"), "").alias("_w"))
         hashed = words.select("_id", _hashes(typed(F.col("_w"))).alias("_h"))
         seen = hashed.select("_id", F.explode(_window_hashes(F.col("_h"), n, step)).alias("hash"))

@@ -56,6 +56,12 @@ def test_short_items(spark):
     assert got == {(0, 0): "verbatim"}
 
 
+def test_items_little_longer_than_a_window(spark):
+    item = "what nine words make this short benchmark item complete"
+    texts = [" ".join(["pad"] * k + [item] + ["end"] * 9) for k in range(9)]
+    assert set(hits(spark, texts, [item, ITEM])) == {(k, 0) for k in range(9)}
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (None, ITEM), (3, ITEM), (3, ITEM), (4, "pad " * 30000 + ITEM), (5, "clean text")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as _id", "'h' as hash", "2 as width")
