@@ -54,14 +54,14 @@ def _hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _starts(words: Column, width: int, step: int = 1) -> Column:
-    """Where windows start; the last one is there whatever the step."""
+def _starts(words: Column, width: int) -> Column:
+    """Where windows start."""
     last = F.size(words) - width
-    return F.when(last >= 0, F.array_distinct(F.concat(F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(step)), F.array(last)))).otherwise(F.array().cast("array<int>"))
+    return F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
 
 
-def _window_hashes(hashes: Column, width: int, step: int) -> Column:
-    return F.transform(_starts(hashes, width, step), lambda at: _window_hash(hashes, at, width))
+def _window_hashes(hashes: Column, width: int) -> Column:
+    return F.transform(_starts(hashes, width), lambda at: _window_hash(hashes, at, width))
 
 
 def _aligned(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -99,35 +99,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, run: int
     document's words from 0. A pair is reported once, by its longest match.
 
     Windows with fewer than ``literals`` plain words (half the words, in items
-    shorter than ``width``) say too little and are not used. A null or empty text
+    shorter than ``width``) say too little and are not used; of an item that has
+    too few other windows for ``run`` words, all of them must match. A null or empty text
     matches nothing; texts are read whole; rows that repeat an id are matched as
     one document; rows with a null id are not reported. Other columns are not
     read. An empty table on either side gives an empty result.
     """
     items = settle(_aligned(benchmark.where(F.col(item_col).isNotNull()), item_col, item_text_col))
-    words_of = {r[0] for r in items.select(F.least(F.size("_t"), F.lit(max(run, width))).alias("n")).distinct().collect()}
-    shortest = min([n for n in words_of if n >= width], default=width)  # the fewest words that make a match, of items that fill a window
+    # Windows are ``width`` words, but for items that have fewer.
+    sizes = [r[0] for r in items.select(F.least(F.size("_t"), F.lit(width)).alias("n")).where("n > 1").distinct().collect()]
     found = None
-    for n in sorted({min(x, width) for x in words_of if x > 1}):
+    for n in sorted(sizes):
         own = items.where(F.size("_t") >= width if n == width else F.size("_t") == n)
         kept = _windows(own, n).where(n - F.size("slots") >= min(literals, (n + 1) // 2)).join(own.select("_id", F.size("_t").alias("words")), "_id")
         kept = settle(kept.select(F.col("_id").alias("item"), F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"), "words", "width").distinct())
+        enough = kept.groupBy("item").agg(F.least(F.lit(run), F.first("words"), F.count_distinct("item_at") + n - 1).alias("needed"))
+        kept = settle(kept.join(enough, "item"))
         count = kept.count()
         hashes = kept.select("hash").distinct()
-        # Every run of words that makes a match holds a window that starts at a multiple of this step.
-        step = max(1, min(run, shortest) - n + 1) if n == width else 1
         words = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.array_remove(F.split(marked(text_of(text_col)), r"\s+"), "").alias("_w"))
         hashed = words.select("_id", _hashes(typed(F.col("_w"))).alias("_h"))
-        seen = hashed.select("_id", F.explode(_window_hashes(F.col("_h"), n, step)).alias("hash"))
+        seen = hashed.select("_id", F.explode(_window_hashes(F.col("_h"), n)).alias("hash"))
         suspects = settle(seen.join(small_or_shuffled(hashes, count * 8), "hash", "left_semi").select("_id").distinct())
         near = docs.join(small_or_shuffled(suspects, suspects.count() * 16), docs[id_col] == suspects["_id"], "left_semi")
         full = _windows(_aligned(near, id_col, text_col), n).join(small_or_shuffled(kept, count * 200), ["hash", "width"])
-        pairs = full.select(F.col("_id").alias("doc"), "item", (F.col("at") - F.col("item_at")).alias("shift"), "at", "words", F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")).alias("z"))
+        pairs = full.select(F.col("_id").alias("doc"), "item", (F.col("at") - F.col("item_at")).alias("shift"), "at", "words", "needed", F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")).alias("z"))
         found = pairs if found is None else found.unionByName(pairs)
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, item_id {benchmark.schema[item_col].dataType.simpleString()}, words int, first_word int, kind string"
     if found is None:
         return docs.sparkSession.createDataFrame([], schema)
-    lines = found.groupBy("doc", "item", "shift", "words").agg(
+    lines = found.groupBy("doc", "item", "shift", "words", "needed").agg(
         F.count_distinct("at").alias("windows"), F.min("at").alias("first"),
         F.array_distinct(F.flatten(F.collect_set("z"))).alias("z"),
     )
@@ -136,7 +137,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, run: int
     consistent = (F.size(value(z, "i")) == F.size(z)) & (F.size(value(z, "d")) == F.size(z)) & ~F.exists(z, lambda s: s["i"]["kind"] != s["d"]["kind"])
     same = ~F.exists(z, lambda s: s["i"]["value"] != s["d"]["value"])
     size = F.when(F.col("words") >= width, F.col("windows") + width - 1).otherwise(F.col("words")).cast("int")
-    passed = lines.where(consistent & (size >= F.least(F.lit(run), F.col("words"))))
+    passed = lines.where(consistent & (size >= F.col("needed")))
     best = passed.groupBy("doc", "item").agg(F.max_by(F.struct(size.alias("words"), F.col("first").alias("first_word"), F.when(same, "verbatim").otherwise("reparameterised").alias("kind")), F.struct(size, -F.col("first"), -F.col("shift"))).alias("m"))
     return best.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "m.words", "m.first_word", "m.kind")
 

@@ -227,17 +227,17 @@ def edit_links(docs: DataFrame, firsts: DataFrame, edits: int, least: int, block
     meet in separate tasks.
     """
     crowded = join_rows(docs, edits, least, True).groupBy("key").count().where(F.col("count") > block)
-    crowded = settle(crowded.select("key", F.ceil(F.col("count") / F.lit(block // 2)).cast("int").alias("blocks")))
+    crowded = settle(crowded.select("key", F.ceil(F.col("count") / F.lit(block // 2)).cast("long").alias("blocks")))
     n_crowded = crowded.count()
     rows = join_rows(docs, edits, least, False)
     if n_crowded:
         rows = rows.join(small_or_shuffled(crowded, n_crowded * 16), "key", "left")
-        own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+        own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("long")
         # Index rows go to the pairs in which their block is held, probes to those in which it asks.
-        pair = F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda t: F.when(F.col("asks"), own * 65536 + t).otherwise(t * 65536 + own)))
+        pair = F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda t: F.when(F.col("asks"), own * (1 << 31) + t).otherwise(t * (1 << 31) + own)))
         rows = rows.select("key", F.explode(pair).alias("pair"), "id", "sketch", "asks")
     else:
-        rows = rows.select("key", F.lit(0).alias("pair"), "id", "sketch", "asks")
+        rows = rows.select("key", F.lit(0).cast("long").alias("pair"), "id", "sketch", "asks")
     dealt = rows.repartition("key", "pair").sortWithinPartitions("key", "pair")
     pairs = settle(dealt.mapInArrow(_meet(edits), "a long, b long").distinct())
     # Only lines in some candidate pair are read again.

@@ -222,16 +222,16 @@ def hamming_links(fps: DataFrame, distance: int = 4, block: int = 4096) -> DataF
     values = fps.select(F.explode(F.array(*[F.struct(F.lit(k).alias("part"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("v")) for k, m in enumerate(whole)])).alias("x")).groupBy("x.part", "x.v").count()
     hot_values = settle(values.where(F.col("count") > block // 4))  # up to two blanked bits join up to four values
     heavy = hot_values.select(F.explode(F.array(*[F.struct(F.lit(k).alias("slot"), F.lit(part).alias("part"), F.col("v").bitwiseAND(F.lit(_signed(mask))).alias("value")) for k, (part, mask) in enumerate(masks)])).alias("x"), "part", "count").where("x.part = part").groupBy("x.slot", "x.value").agg(F.sum("count").alias("rows"))
-    heavy = settle(heavy.where(F.col("rows") > block).withColumn("blocks", F.ceil(F.col("rows") / F.lit(block // 2)).cast("int")).drop("rows"))
+    heavy = settle(heavy.where(F.col("rows") > block).withColumn("blocks", F.ceil(F.col("rows") / F.lit(block // 2)).cast("long")).drop("rows"))
     n_heavy = heavy.count()
     rows = fps.select(probes.alias("x"), "fp").select("x.slot", "x.value", "fp")
     if n_heavy:
         rows = rows.join(small_or_shuffled(heavy, n_heavy * 24), ["slot", "value"], "left")
-        own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-        pairs = F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda t: F.least(t, own) * 65536 + F.greatest(t, own)))
+        own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("long")
+        pairs = F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda t: F.least(t, own) * (1 << 31) + F.greatest(t, own)))
         rows = rows.select("slot", "value", F.explode(pairs).alias("pair"), "fp")
     else:
-        rows = rows.select("slot", "value", F.lit(0).alias("pair"), "fp")
+        rows = rows.select("slot", "value", F.lit(0).cast("long").alias("pair"), "fp")
     dealt = rows.repartition("slot", "value", "pair").sortWithinPartitions("slot", "value", "pair")
     return dealt.mapInArrow(_verified(distance), "a long, b long")
 

@@ -56,6 +56,14 @@ def test_short_items(spark):
     assert got == {(0, 0): "verbatim"}
 
 
+def test_items_full_of_numbers(spark):
+    item = "let 1 2 3 4 5 6 7 8 9 10 then twelve plain words make the only windows that can tell something"
+    other = item.replace("7", "70")
+    assert set(hits(spark, ["pad " + item, other, "let 1 2 3 4 5 6 7 8 9 10 then"], [item])) == {(0, 0), (1, 0)}
+    few = "add 1 2 3 4 5 6 7 8 9 10 now and see 11 12 13 14 15"
+    assert hits(spark, [few, "pad " + few], [few], literals=3) == {(0, 0): "verbatim", (1, 0): "verbatim"}
+
+
 def test_items_little_longer_than_a_window(spark):
     item = "what nine words make this short benchmark item complete"
     texts = [" ".join(["pad"] * k + [item] + ["end"] * 9) for k in range(9)]
