@@ -67,7 +67,9 @@ def _window_hashes(hashes: Column, width: int) -> Column:
 def _aligned(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(_id, _t, _r): template words and raw words, without words of marks alone."""
     text = text_of(text_col)
-    both = df.select(F.col(id_col).alias("_id"), F.arrays_zip(F.split(marked(text), r"\s+").alias("t"), F.split(text, r"\s+").alias("r")).alias("_z"))
+    # marked() empties words of marks alone, and the split swallows their places: so they go from the raw text too.
+    raw = F.regexp_replace(text, r"(?<!\S)[^\p{L}\p{N}\x01-\x03\s]+(?!\S)", "")
+    both = df.select(F.col(id_col).alias("_id"), F.arrays_zip(F.split(marked(text), r"\s+").alias("t"), F.split(raw, r"\s+").alias("r")).alias("_z"))
     kept = both.select("_id", F.filter("_z", lambda z: z["t"] != "").alias("_z"))
     words = kept.select("_id", F.col("_z.t").alias("_w"), F.col("_z.r").alias("_r"))
     return words.select("_id", typed(F.col("_w")).alias("_t"), "_r")

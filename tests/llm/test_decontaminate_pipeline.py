@@ -46,6 +46,15 @@ def test_names_and_units(spark):
     assert hits(spark, [item, other, mixed], [item]) == {(0, 0): "verbatim", (1, 0): "reparameterised"}
 
 
+@pytest.mark.parametrize("marks", [" - ", " & ", " = ", " \u2014 "])
+def test_words_of_marks_alone_shift_no_slots(spark, marks):
+    item = "yesterday our friend Robert walked 7 miles along the old river road and then Robert rested for two hours"
+    other = item.replace("Robert", "Maria").replace("7", "4")
+    mixed = item.replace("Robert walked", "Maria walked")
+    texts = [f"a{marks}b{marks}c " + t for t in (item, other, mixed)] + [item.replace(" along ", f" {marks} along ")]
+    assert hits(spark, texts, [item]) == {(0, 0): "verbatim", (1, 0): "reparameterised", (3, 0): "verbatim"}
+
+
 def test_placeholders_alone_match_nothing(spark):
     numbers = " ".join(str(i) for i in range(40))
     assert hits(spark, [numbers, "so " + " ".join(f"The {i} Bob 9" for i in range(20))], [numbers]) == {}
