@@ -2,7 +2,8 @@
 
 Words become a template: numbers, names and units turn into typed placeholders,
 other words lose case and marks. Windows of template words are hashed and the
-documents' windows joined with the benchmark's. What matches along one
+documents' windows joined with the benchmark's; so are windows of the plain
+lower-case words, exactly. What matches along one
 alignment of a document and an item is then checked slot by slot: each value of
 the item must stand for one value of the document, and the other way round.
 So a question with new numbers or names is caught, and chance matches of
@@ -34,6 +35,11 @@ def marked(text: Column) -> Column:
     return F.lower(F.regexp_replace(t, r"[^\p{L}\p{N}\x01-\x03\s]+", ""))
 
 
+def bare_words(text: Column) -> Column:
+    """The text in lower case without marks, but for single ones between digits; its words are in step with those of ``marked``."""
+    return F.lower(F.regexp_replace(text, r"[^\p{L}\p{N}\x01-\x03\s](?!(?<=[0-9].)[0-9])", ""))
+
+
 def typed(words: Column) -> Column:
     """Template words: number words, and units behind a number, become placeholders too."""
     numbers, units = NUMBER_WORDS.split(), UNITS.split()
@@ -65,33 +71,46 @@ def _window_hashes(hashes: Column, width: int) -> Column:
 
 
 def _aligned(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_id, _t, _r): template words and raw words, without words of marks alone."""
+    """(_id, _t, _r, _e): template words, raw words and bare words, without words of marks alone."""
     text = text_of(text_col)
     # marked() empties words of marks alone, and the split swallows their places: so they go from the raw text too.
     raw = F.regexp_replace(text, r"(?<!\S)[^\p{L}\p{N}\x01-\x03\s]+(?!\S)", "")
-    both = df.select(F.col(id_col).alias("_id"), F.arrays_zip(F.split(marked(text), r"\s+").alias("t"), F.split(raw, r"\s+").alias("r")).alias("_z"))
+    both = df.select(F.col(id_col).alias("_id"), F.arrays_zip(F.split(marked(text), r"\s+").alias("t"), F.split(raw, r"\s+").alias("r"), F.split(bare_words(text), r"\s+").alias("e")).alias("_z"))
     kept = both.select("_id", F.filter("_z", lambda z: z["t"] != "").alias("_z"))
-    words = kept.select("_id", F.col("_z.t").alias("_w"), F.col("_z.r").alias("_r"))
-    return words.select("_id", typed(F.col("_w")).alias("_t"), "_r")
+    words = kept.select("_id", F.col("_z.t").alias("_w"), F.col("_z.r").alias("_r"), F.col("_z.e").alias("_e"))
+    return words.select("_id", typed(F.col("_w")).alias("_t"), "_r", "_e")
 
 
 def _windows(aligned: DataFrame, width: int) -> DataFrame:
-    """(_id, at, hash, slots, width): a row for each window; slots are the values behind its placeholders."""
+    """(_id, at, hash, exact, lettered, slots, width): a row for each window.
+
+    ``hash`` is of the template words, ``exact`` of the bare words, ``lettered`` whether
+    one of these has a letter; slots are the values behind the placeholders.
+    """
     bare = lambda w: F.lower(F.regexp_replace(w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
     words = F.transform(F.arrays_zip(F.col("_t").alias("kind"), F.col("_r").alias("value")), lambda z: F.struct(z["kind"].alias("kind"), F.when(z["kind"].isin(NAME, NUMBER, UNIT), bare(z["value"])).alias("value")))
     # No filter on the number of words here: pushed down, it would compute the words twice, and of all documents.
-    ready = aligned.select("_id", _hashes(F.col("_t")).alias("_h"), words.alias("_z"))
+    ready = aligned.select("_id", _hashes(F.col("_t")).alias("_h"), _hashes(F.col("_e")).alias("_g"), F.transform("_e", lambda w: w.rlike(r"\p{L}")).alias("_l"), words.alias("_z"))
 
     def window(at: Column) -> Column:
         near = F.array(*[F.get("_z", at + k) for k in range(width)])
-        return F.struct(at.alias("at"), _window_hash(F.col("_h"), at, width).alias("hash"), F.filter(near, lambda z: z["kind"].isin(NAME, NUMBER, UNIT)).alias("slots"))
+        lettered = F.exists(F.array(*[F.get("_l", at + k) for k in range(width)]), lambda x: x)
+        return F.struct(at.alias("at"), _window_hash(F.col("_h"), at, width).alias("hash"), _window_hash(F.col("_g"), at, width).alias("exact"), lettered.alias("lettered"), F.filter(near, lambda z: z["kind"].isin(NAME, NUMBER, UNIT)).alias("slots"))
 
     # The generator makes the windows, so that no row carries a document's words.
     rows = ready.select("_id", F.explode(F.transform(_starts(F.col("_h"), width), window)).alias("w"))
-    return rows.select("_id", "w.at", "w.hash", "w.slots", F.lit(width).alias("width"))
+    return rows.select("_id", "w.at", "w.hash", "w.exact", "w.lettered", "w.slots", F.lit(width).alias("width"))
+
+
+def _keyed(windows: DataFrame, *more: str, by_template: Column, by_words: Column) -> DataFrame:
+    """A row for each key of each window: the template hash (``loose``) and, where it differs or that is not used, the exact one."""
+    loose = F.when(by_template, F.struct(F.col("hash").alias("key"), F.lit(True).alias("loose")))
+    exact = F.when(by_words & ~(by_template & (F.col("hash") == F.col("exact"))), F.struct(F.col("exact").alias("key"), F.lit(False).alias("loose")))
+    rows = windows.select("_id", "at", "slots", "width", *more, F.explode(F.array_compact(F.array(loose, exact))).alias("k"))
+    return rows.select("_id", "at", "slots", "width", *more, "k.key", "k.loose")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, run: int = 13, literals: int = 4, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, run: int = 13, literals: int = 4, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", figures: bool = False) -> DataFrame:
     """Matches of documents with benchmark items: doc_id, item_id, words, first_word, kind.
 
     A match is an alignment of a document with an item on which at least ``run``
@@ -100,9 +119,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, run: int
     item's own values and ``reparameterised`` if not; ``first_word`` counts the
     document's words from 0. A pair is reported once, by its longest match.
 
-    Windows with fewer than ``literals`` plain words (half the words, in items
-    shorter than ``width``) say too little and are not used; of an item that has
-    too few other windows for ``run`` words, all of them must match. A null or empty text
+    Windows match by their templates or, case and marks aside, by their very
+    words. Templates with fewer than ``literals`` plain words (half the words, in
+    items shorter than ``width``) say too little and are matched by the words
+    alone; of an item that has too few other templates for ``run`` words, it is
+    enough if all of them match. Windows without a single letter are matched only
+    with ``figures``, which the query and ``decontaminate`` set: without it an item
+    of nothing but numbers is not found. A null or empty text
     matches nothing; texts are read whole; rows that repeat an id are matched as
     one document; rows with a null id are not reported. Other columns are not
     read. An empty table on either side gives an empty result.
@@ -113,25 +136,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, run: int
     found = None
     for n in sorted(sizes):
         own = items.where(F.size("_t") >= width if n == width else F.size("_t") == n)
-        kept = _windows(own, n).where(n - F.size("slots") >= min(literals, (n + 1) // 2)).join(own.select("_id", F.size("_t").alias("words")), "_id")
-        kept = settle(kept.select(F.col("_id").alias("item"), F.col("at").alias("item_at"), "hash", F.col("slots").alias("item_slots"), "words", "width").distinct())
-        enough = kept.groupBy("item").agg(F.least(F.lit(run), F.first("words"), F.count_distinct("item_at") + n - 1).alias("needed"))
+        mine = _windows(own, n).join(own.select("_id", F.size("_t").alias("words")), "_id")
+        telling = n - F.size("slots") >= min(literals, (n + 1) // 2)
+        kept = _keyed(mine, "words", by_template=telling, by_words=F.lit(True) if figures else F.col("lettered"))
+        kept = settle(kept.select(F.col("_id").alias("item"), F.col("at").alias("item_at"), F.col("key"), F.col("slots").alias("item_slots"), "words", "width", F.col("loose").alias("item_loose")).distinct())
+        enough = kept.groupBy("item").agg(F.least(F.lit(run), F.first("words")).alias("needed"), F.least(F.lit(run), F.first("words"), F.count_distinct(F.when(F.col("item_loose"), F.col("item_at"))) + n - 1).alias("needed_loose"))
         kept = settle(kept.join(enough, "item"))
         count = kept.count()
-        hashes = kept.select("hash").distinct()
-        words = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.array_remove(F.split(marked(text_of(text_col)), r"\s+"), "").alias("_w"))
-        hashed = words.select("_id", _hashes(typed(F.col("_w"))).alias("_h"))
-        seen = hashed.select("_id", F.explode(_window_hashes(F.col("_h"), n)).alias("hash"))
+        hashes = kept.select(F.col("key").alias("hash")).distinct()
+        text = text_of(text_col)
+        split = lambda t: F.array_remove(F.split(t, r"\s+"), "")
+        words = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), split(marked(text)).alias("_w"), split(bare_words(text)).alias("_e"))
+        hashed = words.select("_id", _hashes(typed(F.col("_w"))).alias("_h"), _hashes(F.col("_e")).alias("_g"))
+        seen = hashed.select("_id", F.explode(F.array_union(_window_hashes(F.col("_h"), n), _window_hashes(F.col("_g"), n))).alias("hash"))
         suspects = settle(seen.join(small_or_shuffled(hashes, count * 8), "hash", "left_semi").select("_id").distinct())
         near = docs.join(small_or_shuffled(suspects, suspects.count() * 16), docs[id_col] == suspects["_id"], "left_semi")
-        full = _windows(_aligned(near, id_col, text_col), n).join(small_or_shuffled(kept, count * 200), ["hash", "width"])
-        pairs = full.select(F.col("_id").alias("doc"), "item", (F.col("at") - F.col("item_at")).alias("shift"), "at", "words", "needed", F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")).alias("z"))
+        theirs = _keyed(_windows(_aligned(near, id_col, text_col), n), by_template=F.lit(True), by_words=F.lit(True))
+        full = theirs.join(small_or_shuffled(kept, count * 200), ["key", "width"])
+        # Windows of equal words have equal values, whatever the case makes of them.
+        values = F.when(F.col("loose") & F.col("item_loose"), F.col("slots")).otherwise(F.col("item_slots"))
+        pairs = full.select(F.col("_id").alias("doc"), "item", (F.col("at") - F.col("item_at")).alias("shift"), "at", "words", "needed", "needed_loose", (F.col("loose") & F.col("item_loose")).alias("loose"), F.arrays_zip(F.col("item_slots").alias("i"), values.alias("d")).alias("z"))
         found = pairs if found is None else found.unionByName(pairs)
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, item_id {benchmark.schema[item_col].dataType.simpleString()}, words int, first_word int, kind string"
     if found is None:
         return docs.sparkSession.createDataFrame([], schema)
-    lines = found.groupBy("doc", "item", "shift", "words", "needed").agg(
-        F.count_distinct("at").alias("windows"), F.min("at").alias("first"),
+    lines = found.groupBy("doc", "item", "shift", "words", "needed", "needed_loose").agg(
+        F.count_distinct("at").alias("windows"), F.count_distinct(F.when(F.col("loose"), F.col("at"))).alias("loose"), F.min("at").alias("first"),
         F.array_distinct(F.flatten(F.collect_set("z"))).alias("z"),
     )
     value = lambda z, side: F.array_distinct(F.transform(z, lambda s: F.struct(s[side]["kind"], s[side]["value"])))
@@ -139,12 +169,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, run: int
     consistent = (F.size(value(z, "i")) == F.size(z)) & (F.size(value(z, "d")) == F.size(z)) & ~F.exists(z, lambda s: s["i"]["kind"] != s["d"]["kind"])
     same = ~F.exists(z, lambda s: s["i"]["value"] != s["d"]["value"])
     size = F.when(F.col("words") >= width, F.col("windows") + width - 1).otherwise(F.col("words")).cast("int")
-    passed = lines.where(consistent & (size >= F.col("needed")))
+    by_template = (F.col("loose") > 0) & (F.col("words").cast("int") < width) | (F.col("loose") > 0) & (F.col("loose") + width - 1 >= F.col("needed_loose"))
+    passed = lines.where(consistent & ((size >= F.col("needed")) | by_template))
     best = passed.groupBy("doc", "item").agg(F.max_by(F.struct(size.alias("words"), F.col("first").alias("first_word"), F.when(same, "verbatim").otherwise("reparameterised").alias("kind")), F.struct(size, -F.col("first"), -F.col("shift"))).alias("m"))
     return best.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "m.words", "m.first_word", "m.kind")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The documents without those that hold a benchmark item; rows with a null id stay."""
-    bad = settle(contaminated(docs, benchmark, id_col=id_col, **options).select(F.col("doc_id").alias("_bad")).distinct())
+    bad = settle(contaminated(docs, benchmark, id_col=id_col, **{"figures": True} | options).select(F.col("doc_id").alias("_bad")).distinct())
     return docs.join(small_or_shuffled(bad, bad.count() * 16), docs[id_col] == bad["_bad"], "left_anti")

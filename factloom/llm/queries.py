@@ -59,7 +59,7 @@ def op5_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_decontaminate_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item; other documents have no row."""
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), figures=True)
 
 
 def op7_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,6 +46,17 @@ def test_names_and_units(spark):
     assert hits(spark, [item, other, mixed], [item]) == {(0, 0): "verbatim", (1, 0): "reparameterised"}
 
 
+def test_equal_words_match_whatever_their_templates(spark):
+    sums = " ".join(f"{i} + {2 * i} = {3 * i}" for i in range(1, 9))
+    names = "Alice Bob Carol David Erin Frank Grace Heidi Ivan Judy Kevin Laura Mallory Niaj Olivia Peggy"
+    items = [sums, names, names.upper(), ITEM]
+    texts = ["pad " + sums, "pad " + names, names.lower(), "pad " + ITEM.upper().replace(" ", "!! "), "pad " + ITEM.title(), "pad " + sums.replace("1", "9"), "pad " + " ".join(reversed(names.split()))]
+    got = hits(spark, texts, items, figures=True)
+    assert set(got) == {(0, 0), (1, 1), (1, 2), (2, 1), (2, 2), (3, 3), (4, 3)} and set(got.values()) == {"verbatim"}
+    docs = spark.createDataFrame([(1, "pad " + sums), (2, "clean text")], "doc_id long, text string")
+    assert [r["doc_id"] for r in decontaminate(docs, spark.createDataFrame([(1, sums)], "item_id long, text string")).collect()] == [2]
+
+
 @pytest.mark.parametrize("marks", [" - ", " & ", " = ", " \u2014 "])
 def test_words_of_marks_alone_shift_no_slots(spark, marks):
     item = "yesterday our friend Robert walked 7 miles along the old river road and then Robert rested for two hours"
