@@ -180,15 +180,52 @@ KINDS: list[tuple[str, str | None, re.Pattern, Callable[[re.Match, bytes, bool],
 _DIGIT = re.compile("[0-9]")
 
 
+#: Checked kinds whose pattern may take in what stands before or behind a value: pattern of the value alone.
+PARTS = {"iban": re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}"), "card": re.compile(r"\d{4}(?:[ -]?\d{2,6}){2,4}")}
+IBAN_LENGTH = {"AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IT": 27, "LT": 20, "LU": 20, "LV": 21, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "SI": 19, "SK": 24}
+
+
+def _within(m: re.Match, part: re.Pattern, replace: Callable, key: bytes, inverse: bool) -> tuple[int, int, str] | None:
+    """(start, end, replacement) of the first valid value in a match that is none as a whole: an IBAN of its country's length, or else the longest."""
+    text, tried = m.string, [(m.start(), m.end())]
+    breaks = [i for i in range(m.start(), m.end()) if text[i] in " -"]
+    for a in [m.start(), *[i + 1 for i in breaks]]:
+        ends = [m.end(), *[i for i in reversed(breaks) if i > a]]
+        if length := IBAN_LENGTH.get(text[a : a + 2]):
+            ends.sort(key=lambda b: len(text[a:b].replace(" ", "")) != length)
+        for b in ends:
+            if not (x := part.fullmatch(text, a, b)):
+                continue
+            if (new := replace(x, key, inverse)) is None:
+                tried.append((a, b))
+                continue
+            # Walk on while the new text would be read otherwise, so that the key can undo it.
+            while True:
+                then = text[:a] + new + text[b:]
+                if not any((y := part.fullmatch(then, i, j)) and replace(y, key, inverse) is not None for i, j in tried):
+                    return a, b, new
+                new = replace(part.fullmatch(then, a, b), key, inverse)
+    return None
+
+
 def pseudonymise(text: str, key: bytes, inverse: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with every found value replaced, and (kind, start, end) of each in the old text."""
     digits, spans = _DIGIT.search(text), []
     for kind, needs, pattern, replace in KINDS:
         if (needs not in text) if needs else not digits:
             continue
-        for m in pattern.finditer(text):
-            if all(m.end() <= a or m.start() >= b for a, b, _, _ in spans) and (new := replace(m, key, inverse)) is not None:
+        free = lambda start, end: all(end <= a or start >= b for a, b, _, _ in spans)
+        at = 0
+        while m := pattern.search(text, at):
+            at = m.end()
+            if free(m.start(), m.end()) and (new := replace(m, key, inverse)) is not None:
                 spans.append((m.start(), m.end(), kind, new))
+            elif kind in PARTS:
+                if (found := _within(m, PARTS[kind], replace, key, inverse)) and free(*found[:2]):
+                    spans.append((*found[:2], kind, found[2]))
+                    at = found[1]
+                elif " " in m[0]:  # a value may begin in this match and go on behind it
+                    at = m.start() + m[0].index(" ") + 1
     if not spans:
         return text, []
     spans.sort()

@@ -134,6 +134,15 @@ def test_pseudonyms_keep_formats_and_links():
     assert pseudonymise(new, KEY, inverse=True)[0] == text
 
 
+def test_values_beside_other_numbers_and_words():
+    card, iban = "4111 1111 1111 1111", "DE89370400440532013000"
+    for text, value in [(f"{card} 05/27", card), (f"{card} 123", card), (f"2024 {card}", card), (f"pay {iban} EUR 250", iban), (f"{iban} TO BANK", iban), (f"1234 5678 9012 34 {card} 99", card)]:
+        new, found = pseudonymise(text, KEY)
+        assert [text[a:b] for _, a, b in found] == [value] and value not in new and pseudonymise(new, KEY, inverse=True)[0] == text
+    new, found = pseudonymise(f"{card} 5500 0000 0000 0004", KEY)
+    assert len(found) == 2 and pseudonymise("4111 1111 1111 1112 05/27", KEY)[1] == []
+
+
 def test_pseudonymised_documents(spark):
     rows = [(1, "call +1 (743) 555-3824"), (1, "call +1 (743) 555-3824"), (2, None), (3, ""), (None, "clean text"), (4, "x " * 60000 + "10.0.0.1")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as found", "'m' as _made")
