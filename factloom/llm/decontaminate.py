@@ -162,15 +162,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, run: int
         return docs.sparkSession.createDataFrame([], schema)
     lines = found.groupBy("doc", "item", "shift", "words", "needed", "needed_loose").agg(
         F.count_distinct("at").alias("windows"), F.count_distinct(F.when(F.col("loose"), F.col("at"))).alias("loose"), F.min("at").alias("first"),
-        F.array_distinct(F.flatten(F.collect_set("z"))).alias("z"),
+        F.array_distinct(F.flatten(F.collect_set("z"))).alias("z"), F.array_distinct(F.flatten(F.collect_set(F.when(F.col("loose"), F.col("z"))))).alias("z_loose"),
     )
     value = lambda z, side: F.array_distinct(F.transform(z, lambda s: F.struct(s[side]["kind"], s[side]["value"])))
     z = F.col("z")
-    consistent = (F.size(value(z, "i")) == F.size(z)) & (F.size(value(z, "d")) == F.size(z)) & ~F.exists(z, lambda s: s["i"]["kind"] != s["d"]["kind"])
+    consistent = lambda z: (F.size(value(z, "i")) == F.size(z)) & (F.size(value(z, "d")) == F.size(z)) & ~F.exists(z, lambda s: s["i"]["kind"] != s["d"]["kind"])
     same = ~F.exists(z, lambda s: s["i"]["value"] != s["d"]["value"])
     size = F.when(F.col("words") >= width, F.col("windows") + width - 1).otherwise(F.col("words")).cast("int")
-    by_template = (F.col("loose") > 0) & (F.col("words").cast("int") < width) | (F.col("loose") > 0) & (F.col("loose") + width - 1 >= F.col("needed_loose"))
-    passed = lines.where(consistent & ((size >= F.col("needed")) | by_template))
+    # Windows matched by words alone must not undo what the templates tell.
+    by_template = (F.col("loose") > 0) & ((F.col("words") < width) | (F.col("loose") + width - 1 >= F.col("needed_loose")))
+    passed = lines.where((consistent(z) & (size >= F.col("needed"))) | (consistent(F.col("z_loose")) & by_template))
     best = passed.groupBy("doc", "item").agg(F.max_by(F.struct(size.alias("words"), F.col("first").alias("first_word"), F.when(same, "verbatim").otherwise("reparameterised").alias("kind")), F.struct(size, -F.col("first"), -F.col("shift"))).alias("m"))
     return best.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "m.words", "m.first_word", "m.kind")
 

@@ -57,6 +57,11 @@ def test_equal_words_match_whatever_their_templates(spark):
     assert [r["doc_id"] for r in decontaminate(docs, spark.createDataFrame([(1, sums)], "item_id long, text string")).collect()] == [2]
 
 
+def test_equal_numbers_behind_do_not_undo_a_template_match(spark):
+    item = "yesterday our friend Robert walked along the old river road with many happy children and dogs then 1 2 3 4 5 6 Robert 7 8"
+    assert hits(spark, [item.replace("Robert walked", "Maria walked")], [item], figures=True) == {(0, 0): "reparameterised"}
+
+
 @pytest.mark.parametrize("marks", [" - ", " & ", " = ", " \u2014 "])
 def test_words_of_marks_alone_shift_no_slots(spark, marks):
     item = "yesterday our friend Robert walked 7 miles along the old river road and then Robert rested for two hours"
