@@ -259,13 +259,15 @@ def edit_links(docs: DataFrame, firsts: DataFrame, edits: int, least: int, block
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(verify, "a long, b long")
 
 
-def dedup_lines(df: DataFrame, edits: int = 2, least: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(df: DataFrame, edits: int = 2, least: int = 24, id_col: str = "doc_id", text_col: str = "text", least_equal: int | None = None) -> DataFrame:
     """Every row with the lines removed that repeat an earlier one; ``removed`` has their numbers from 0.
 
     Classes are chains of lines that are equal or within ``edits`` edits, outer
     white space aside; of a class the line of the smallest (doc_id, number)
-    stays. Lines under ``least`` characters are never removed: they are too short
-    for two edits to mean a copy. ``removed`` is empty, and the text unchanged,
+    stays. Lines under ``least`` characters are too short for two edits to mean a
+    copy: from ``least_equal`` characters on (``least`` by default; the query and the
+    pipeline give 1) they are removed where they equal an earlier line. Lines of
+    white space alone are never removed. ``removed`` is empty, and the text unchanged,
     where nothing was removed.
 
     A null text stays null; an empty one empty; texts and lines are read whole,
@@ -275,7 +277,7 @@ def dedup_lines(df: DataFrame, edits: int = 2, least: int = 24, id_col: str = "d
     are returned; one named ``removed`` is replaced. An empty table stays empty.
     """
     docs = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), text_of(text_col).alias("_text"))
-    found = settle(occurrences(docs, least))
+    found = settle(occurrences(docs, least if least_equal is None else max(1, least_equal)))
     firsts = settle(found.groupBy("id", "other").agg(F.min(F.struct("doc_id", "line")).alias("first")))
     links = edit_links(docs, firsts.select("id", "first.doc_id", "first.line"), edits, least)
     roots = connected_components(links).withColumnRenamed("node", "id")

@@ -75,7 +75,7 @@ def op8_pii_feistel(spark: SparkSession, sf_dir: str, key: bytes = b"factloom te
 
 def op9_line_dedup_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that repeat an earlier one, and the numbers of those lines."""
-    done = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    done = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), least_equal=1)
     return done.select("doc_id", "text", "removed", F.size("removed").cast("int").alias("n_removed"))
 
 

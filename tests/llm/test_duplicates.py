@@ -215,6 +215,20 @@ def test_op9_on_real_lines(spark):
     assert len(got) == len(docs) and all(v <= got[d] for d, v in exact.items())
 
 
+def test_equal_short_lines_go_too(spark):
+    rows = [(1, "All rights reserved.\n\nab"), (2, "own\n  All rights reserved. \n\nab"), (3, "All rights reserved!")]
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), least_equal=1).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == {1: rows[0][1], 2: "own\n", 3: rows[2][1]}
+    seen, exact = set(), {}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    for d, i, s in sorted((d, i, s) for d, t in docs for i, s in long_lines(t or "", 1)):
+        if s in seen:
+            exact.setdefault(d, set()).add(i)
+        seen.add(s)
+    removed = {r["doc_id"]: set(r["removed"]) for r in op9_line_dedup_segments(spark, SF).collect()}
+    assert all(v <= removed[d] for d, v in exact.items())
+
+
 def test_lines_of_odd_rows(spark):
     line = "this line has more than twenty-four characters"
     rows = [(1, f"  {line}\r\nshort\n\n{line}"), (2, None), (3, ""), (None, line), (4, f"{line}!!"), (4, f"{line}!!"), (5, "word " * 40000), (6, line[:-3] + "abc")]
