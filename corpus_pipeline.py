@@ -26,9 +26,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an earlier one go, and documents that keep no line of 24 characters or more after that."""
-    done = dedup_lines(docs, least=LEAST_LINE)
-    left = F.exists(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.length(F.trim(x)) >= LEAST_LINE)
+    """Lines that repeat an earlier one go, and documents that have nothing but white space left after that."""
+    done = dedup_lines(docs, least=LEAST_LINE, least_equal=1)
+    left = F.coalesce("text", F.lit("")).rlike(r"\S")
     changed = F.size("removed") > 0
     return done.where(~changed | left).withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 

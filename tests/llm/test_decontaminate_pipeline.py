@@ -171,6 +171,14 @@ def test_no_long_line_is_left_twice(stages):
     assert len(before - seen) <= 20  # only lines within two edits of a kept one
 
 
+def test_documents_of_short_lines_stay(spark):
+    line = "a license line that stands in every document"
+    rows = [(1, line, 44), (2, f"{line}\nWas orer.", 54), (3, f" \n{line}", 46)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.drop_repeated_lines(spark, docs, SF).collect()}
+    assert got == {1: (line, 44), 2: ("Was orer.", 9)}
+
+
 def test_one_of_each_group_stays(stages):
     from factloom.llm.simhash import simhash_groups
 
