@@ -125,7 +125,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, run: int
     alone; of an item that has too few other templates for ``run`` words, it is
     enough if all of them match. Windows without a single letter are matched only
     with ``figures``, which the query and ``decontaminate`` set: without it an item
-    of nothing but numbers is not found. A null or empty text
+    of nothing but numbers is not found. Items of one white-space word, which takes in
+    whole questions in scripts without spaces, are not matched. A null or empty text
     matches nothing; texts are read whole; rows that repeat an id are matched as
     one document; rows with a null id are not reported. Other columns are not
     read. An empty table on either side gives an empty result.
