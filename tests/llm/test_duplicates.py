@@ -203,6 +203,43 @@ def test_lines_equal_brute_force(spark):
         assert all(r["text"] == "\n".join(x for i, x in enumerate(texts[r["doc_id"]].split("\n")) if i not in gone.get(r["doc_id"], [])) for r in got)
 
 
+def test_crowds_of_lines_equal_brute_force(spark, monkeypatch):
+    """Also where groups give members instead of pairs, crowded keys leave early and forests meet in blocks."""
+    import factloom.llm.lines as module
+
+    docs = varied_lines(5, 80) + [(1000 + i, f"a line that many documents vary a bit, by number {i:03d}") for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    gone = brute_removed(docs, 2, 24)
+    for few, block, room in ((2, 4096, 1 << 22), (2, 6, 40)):
+        monkeypatch.setattr(module, "FEW", few)
+        monkeypatch.setattr(module, "ROOM", room)
+        monkeypatch.setattr(module.edit_links, "__defaults__", (block,))
+        assert {r["doc_id"]: list(r["removed"]) for r in dedup_lines(df).collect() if r["removed"]} == gone
+
+
+def test_op9_equals_brute_force(spark):
+    """The edit join over a whole table: pairs of neighbouring lengths whose character counts are close, then edits."""
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    lines = sorted((d, i, s) for d, t in docs for i, s in long_lines(t or "", 1))
+    distinct = sorted({s for *_, s in lines if len(s) >= 24}, key=len)
+    size, edges = np.array([len(s) for s in distinct]), []
+    counts = np.zeros((len(distinct), 128), np.int32)
+    for k, s in enumerate(distinct):
+        np.add.at(counts[k], np.array([ord(c) % 128 for c in s]), 1)
+    for k in range(len(distinct)):
+        last = int(np.searchsorted(size, size[k] + 2, "right"))
+        for j in k + 1 + np.flatnonzero(np.abs(counts[k + 1 : last] - counts[k]).sum(axis=1) <= 4):
+            if edit_distance(distinct[k], distinct[j]) <= 2:
+                edges.append((distinct[k], distinct[j]))
+    of, first, gone = brute_components({s for *_, s in lines}, edges), {}, {}
+    for d, i, s in lines:
+        if of[s] in first:
+            gone.setdefault(d, []).append(i)
+        first.setdefault(of[s], (d, i))
+    got = {r["doc_id"]: (r["text"], list(r["removed"])) for r in op9_line_dedup_segments(spark, SF).collect()}
+    assert {d: x for d, (_, x) in got.items() if x} == gone and len(got) == len(docs)
+
+
 def test_op9_on_real_lines(spark):
     """Exact copies on the whole table; the edit join is compared above."""
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
