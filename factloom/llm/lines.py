@@ -27,29 +27,6 @@ from .components import connected_components
 from .simhash import bits_apart
 
 
-def segments(length: int, parts: int) -> list[tuple[int, int]]:
-    """(start, size) of ``parts`` even segments, the longer ones last."""
-    size, longer = divmod(length, parts)
-    out, at = [], 0
-    for i in range(parts):
-        n = size + (i >= parts - longer)
-        out.append((at, n))
-        at += n
-    return out
-
-
-def probes(length: int, edits: int, least: int) -> list[tuple[int, int, int, int]]:
-    """(indexed length, segment, start, size) of the substrings that a line of ``length`` looks up."""
-    out = []
-    for other in range(max(least, length - edits), length + 1):
-        gap = length - other
-        for i, (at, size) in enumerate(segments(other, edits + 1)):
-            low = max(at - i, at + gap - (edits - i), 0)
-            high = min(at + i, at + gap + (edits - i), length - size)
-            out += [(other, i, start, size) for start in range(low, high + 1)]
-    return out
-
-
 def _flat(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All characters behind each other, and the start and length of each line."""
     size = np.fromiter(map(len, lines), np.int64, len(lines))
@@ -91,6 +68,10 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def join_keys(lines: list[str], edits: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(key, line, asks) rows of the index segments and the probes of every line, and the lines' sketches.
 
+    Segments are even, the longer ones last. Segment i of a partner that is ``gap``
+    characters shorter has moved by at most i, the edits before it, and by at most
+    edits - i beyond ``gap``, those behind it.
+
     A substring's hash comes from two sums of its text's characters, each weighed
     with a power of BASE, so all substrings of all lines are hashed at once.
     """
@@ -409,27 +390,52 @@ def grouped(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[int
         yield at, [pa.concat_arrays(x) for x in zip(*held)]
 
 
+def between(x: str, y: str) -> tuple[str, str]:
+    """Two strings without what they have in common at the start and then at the end: as many edits apart."""
+    n = min(len(x), len(y))
+    a, b = (np.frombuffer(s.encode("utf-32-le", "surrogatepass"), np.uint32) for s in (x, y))
+    differ = a[:n] != b[:n]
+    start = int(differ.argmax()) if n and differ.any() else n
+    differ = (a[len(a) - (n - start) :] != b[len(b) - (n - start) :])[::-1]
+    end = int(differ.argmax()) if n > start and differ.any() else n - start
+    return x[start : len(x) - end], y[start : len(y) - end]
+
+
+def verified(pairs: list[tuple[str, str]], edits: int) -> np.ndarray:
+    """``within_edits`` in steps of pairs of like length, so that memory follows the longest pair."""
+    pairs = [between(x, y) for x, y in pairs]
+    size = np.fromiter((max(len(x), len(y)) for x, y in pairs), np.int64, len(pairs))
+    order, good, at = np.argsort(size, kind="stable"), np.zeros(len(pairs), bool), 0
+    while at < len(order):
+        n = int(np.searchsorted((np.arange(1, 2049)[: len(order) - at]) * size[order[at : at + 2048]], 1 << 21, "right"))
+        part = order[at : at + max(1, n)]
+        good[part] = within_edits([pairs[k] for k in part], edits)
+        at += len(part)
+    return good
+
+
 def line_forest(ids: np.ndarray, lines: list[str], edits: int) -> Iterator[tuple[int, int]]:
-    """Links of a spanning forest of the lines within ``edits`` edits of each other."""
+    """Links of a spanning forest of the lines within ``edits`` edits of each other; pairs already connected are not verified."""
     ids, place = np.unique(ids, return_index=True)
     lines = [lines[i] for i in place]
-    sketch, size = sketches(lines), np.fromiter(map(len, lines), np.int64, len(lines))
-    rest = np.arange(len(ids))
-    while len(rest):
-        queue, rest = [rest[0]], rest[1:]
-        while queue and len(rest):
-            at = queue.pop()
-            near = np.flatnonzero((bits_apart(sketch[rest], sketch[at]) <= 4 * edits) & (np.abs(size[rest] - size[at]) <= edits))
-            good = [near[:0]]
-            for a in range(0, len(near), 2048):
-                part = near[a : a + 2048]
-                good.append(part[within_edits([(lines[at], lines[k]) for k in rest[part]], edits)])
-            good = np.concatenate(good)
-            if len(good):
-                found = rest[good].tolist()
-                yield from ((int(ids[at]), int(ids[k])) for k in found)
-                queue += found
-                rest = np.delete(rest, good)
+    sketch, size, part = sketches(lines), np.fromiter(map(len, lines), np.int64, len(lines)), np.arange(len(lines))
+    step = max(1, (1 << 20) // len(lines))
+    for at in range(0, len(lines), step):
+        own = np.arange(at, min(at + step, len(lines)))[:, None]
+        near = (bits_apart(sketch[own], sketch[None, :]) <= 4 * edits) & (np.abs(size[own] - size) <= edits) & (np.arange(len(lines)) > own)
+        i, j = np.nonzero(near)
+        i += at
+        batch = 64  # few at first: one link can connect many pairs
+        while len(i):
+            open_ = part[i] != part[j]
+            i, j = i[open_], j[open_]
+            good = np.flatnonzero(verified([(lines[x], lines[y]) for x, y in zip(i[:batch].tolist(), j[:batch].tolist())], edits)) if len(i) else i
+            for k in good:
+                a, b = part[i[k]], part[j[k]]
+                if a != b:
+                    part[part == b] = a
+                    yield int(ids[i[k]]), int(ids[j[k]])
+            i, j, batch = i[batch:], j[batch:], min(2 * batch, 4096)
 
 
 def line_texts(docs: DataFrame, firsts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -463,10 +469,7 @@ def edit_links(docs: DataFrame, firsts: DataFrame, edits: int, least: int, block
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            order = np.argsort(batch["x"].str.len().to_numpy(), kind="stable")
-            for at in range(0, len(order), 2048):
-                part = batch.iloc[order[at : at + 2048]]
-                yield part.loc[within_edits([(x.strip(), y.strip()) for x, y in zip(part["x"], part["y"])], edits), ["a", "b"]]
+            yield batch.loc[verified([(x.strip(), y.strip()) for x, y in zip(batch["x"], batch["y"])], edits), ["a", "b"]]
 
     def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, (ids, lines) in grouped(batches, 2):

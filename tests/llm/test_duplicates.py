@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from factloom.llm import simhash
 from factloom.llm.components import connected_components
-from factloom.llm.lines import dedup_lines, long_lines, probes, segments, sketches, within_edits
+from factloom.llm.lines import dedup_lines, join_keys, line_forest, long_lines, sketches, verified, within_edits
 from factloom.llm.queries import op4_repeats_suffix_array, op9_line_dedup_segments, op10_simhash_pigeonhole
 from factloom.llm.suffixes import gram_hashes, repeated_passages
 
@@ -140,7 +140,23 @@ def test_edit_check():
             b[k : k + (kind > 0.3)] = rng.choice("abé") if kind < 0.7 else ""
         pairs.append((a, "".join(b)))
     for edits in (1, 2, 3, 5):
-        assert within_edits(pairs, edits).tolist() == [edit_distance(a, b) <= edits for a, b in pairs]
+        assert within_edits(pairs, edits).tolist() == [edit_distance(a, b) <= edits for a, b in pairs] == verified(pairs, edits).tolist()
+
+
+def test_forests_connect_what_brute_force_does():
+    rng = random.Random(3)
+    for _ in range(20):
+        bases = ["".join(rng.choice("abcdef") for _ in range(40)) for _ in range(3)]
+        lines = set()
+        for _ in range(60):
+            b = list(rng.choice(bases))
+            for _ in range(rng.randint(0, 5)):
+                b[rng.randrange(len(b))] = rng.choice("xyz")
+            lines.add("".join(b))
+        lines = sorted(lines)
+        links = list(line_forest(np.arange(len(lines)), lines, 2))
+        expected = brute_components(range(len(lines)), [(i, j) for i in range(len(lines)) for j in range(i) if edit_distance(lines[i], lines[j]) <= 2])
+        assert brute_components(range(len(lines)), links) == expected and len(links) == len(lines) - len(set(expected.values()))
 
 
 def test_probes_meet_segments_and_sketches_bound_edits():
@@ -153,8 +169,8 @@ def test_probes_meet_segments_and_sketches_bound_edits():
                 k, kind = rng.randint(0, len(b) - 1), rng.random()
                 b[k : k + (kind > 0.3)] = rng.choice("abc") if kind < 0.7 else ""
             short, long = sorted((a, "".join(b)), key=len)
-            index = {(len(short), i, short[s : s + n]) for i, (s, n) in enumerate(segments(len(short), edits + 1))}
-            assert index & {(m, i, long[s : s + n]) for m, i, s, n in probes(len(long), edits, 1)}
+            key, own, asks, _ = join_keys([short, long], edits, 1)
+            assert set(key[(own == 0) & ~asks].tolist()) & set(key[(own == 1) & asks].tolist())
             x, y = sketches([short, long])
             assert ((int(x) ^ int(y)) & (1 << 64) - 1).bit_count() <= 4 * edits
 
