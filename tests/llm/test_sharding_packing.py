@@ -53,8 +53,20 @@ def test_shuffle_is_uniform_and_repeatable(spark):
     assert ((quarters - 250) ** 2 / 250).sum() < 40  # 9 degrees of freedom
 
 
+def test_repeated_ids_share_no_block(spark):
+    df = spark.range(3000).selectExpr("cast(null as long) as doc_id", "id as n")
+    got = shuffle_into_shards(df, 4).groupBy("shard").agg({"*": "count", "slot": "max"}).collect()
+    assert [r["count(1)"] for r in got] == [750] * 4 and {r["max(slot)"] for r in got} == {749}
+
+
 def test_op1(spark):
     rows = op1_shard_hypergeometric(spark, SF).collect()
+    slots = {}
+    for r in rows:
+        slots.setdefault(r["shard"], []).append(r["slot"])
+        assert r["law"] == "rows" and r["grown_shard"] is None
+    sizes = [len(x) for x in slots.values()]
+    assert sorted(slots) == list(range(8)) and max(sizes) - min(sizes) <= 1 and all(sorted(x) == list(range(len(x))) for x in slots.values())
     texts = dict(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
     assert len(rows) == len(texts) and all(r["size"] == len((texts[r["doc_id"]] or "").encode()) + 1 and r["text_crc32"] == zlib.crc32((texts[r["doc_id"]] or "").encode()) for r in rows)
 
@@ -111,6 +123,24 @@ def test_encoders_agree(monkeypatch):
     assert fast == slow
 
 
+def test_encoders_agree_on_a_whole_table(spark):
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
+    from tokenizers import Tokenizer
+
+    slow = Tokenizer.from_file(public_vocabulary()).encode_batch(texts, add_special_tokens=False)
+    assert [x.tolist() for x in token_encoder(public_vocabulary())(texts)] == [e.ids for e in slow]
+
+
+def test_texts_that_the_fast_encoder_refuses(spark):
+    odd = ["\n" * 2_000_000, " " * 1_000_000 + "a"]
+    df = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    rows = pack_documents(df, public_vocabulary()).toPandas()
+    for i, t in enumerate(odd):
+        ids = np.append(token_encoder(public_vocabulary())([t])[0], 0).astype("<u4")
+        own = rows[rows["doc_id"] == i].sort_values("piece")
+        assert own["length"].sum() == len(ids) and [zlib.crc32(ids[s : s + n].tobytes()) for s, n in zip(own["start"], own["length"])] == own["ids_crc32"].tolist()
+
+
 def test_pack_odd_documents(spark):
     df = spark.createDataFrame(ODD, "doc_id long, text string").selectExpr("*", "'x' as length", "1 as _cell")
     rows = pack_documents(df, public_vocabulary(), 64, with_ids=True).collect()
