@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's ``spark.checkpoint.dir``; set one only where none is set (tests)."""
+    """Use the cluster's ``spark.checkpoint.dir``; set one only where none is set and the session is local (tests)."""
     sc = spark.sparkContext
     if sc.getConf().get("spark.checkpoint.dir") or sc._jsc.sc().getCheckpointDir().isDefined():
         return
+    if sc.master != "local" and not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the whole cluster shares")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="factloom-checkpoint-"))
 
 
@@ -39,9 +41,9 @@ def unpacked(df: DataFrame, columns: list[str], **outputs: Column) -> DataFrame:
     return df.select(*kept, *[c.alias(n) for n, c in outputs.items()])
 
 
-def groups_for(rows: int, per_group: int = 16384, least: int = 256) -> int:
-    """How many hash groups keep about ``per_group`` rows each; ``least`` of them on small input."""
-    return max(least, math.ceil(rows / per_group))
+def groups_for(rows: int, per_group: int = 16384, least: int = 256, most: int = 1 << 16) -> int:
+    """How many hash groups keep about ``per_group`` rows each; ``least`` of them on small input, ``most`` on the largest."""
+    return min(most, max(least, math.ceil(rows / per_group)))
 
 
 def small_or_shuffled(df: DataFrame, nbytes: int, most: int = 32 << 20) -> DataFrame:

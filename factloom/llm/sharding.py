@@ -1,6 +1,6 @@
 """Uniform shuffle into shards of exact size by a hypergeometric communication matrix.
 
-Rows fall into blocks by a hash of their id. The driver counts the blocks and
+Rows fall into blocks by a hash of their id and contents. The driver counts the blocks and
 draws, block after block, how many of its rows go to each shard: a multivariate
 hypergeometric draw from the room the shards have left, so column sums are the
 shard sizes (at most one apart) and every assignment is equally likely. Then
@@ -36,26 +36,29 @@ def shuffle_into_shards(df: DataFrame, shards: int = 8, id_col: str = "doc_id",
     gaps, in uniformly random order. The same rows, ids and seed give the same
     result on any cluster.
 
-    Null ids are ids like any other; rows that repeat an id, null included,
-    share a block and are told apart by their contents. Texts are carried, never
-    read beyond a hash, so empty and very long ones make no difference. An empty
-    table gives an empty result. All input columns are returned; one that is
-    named ``shard`` or ``slot`` is replaced.
+    Null ids are ids like any other. Rows that repeat an id, null included, are
+    told apart by their contents and spread by them over the blocks; only rows
+    that are equal in everything share one. Texts are carried, never read beyond
+    a hash, so empty and very long ones make no difference. An empty table gives
+    an empty result. All input columns are returned; one that is named ``shard``
+    or ``slot`` is replaced.
 
-    The driver holds one count for each block and shard and for each cell: with
-    16,384 rows a block, n rows take n / 16384 * (shards + 2) * 8 bytes.
+    The driver holds one count for each block and shard and for each cell. There
+    are 2 ** 22 of these at most, so 32 MB; beyond that blocks have more than
+    16,384 rows, which a task sorts and spills.
     """
     if shards < 1:
         raise ValueError("shards must be positive")
     spark, rows = df.sparkSession, df.count()
-    blocks = groups_for(rows)
-    block = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(blocks)).cast("int")
+    blocks = groups_for(rows, most=max(256, min(1 << 16, (1 << 22) // shards)))
+    contents = F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind])
+    block = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), contents), F.lit(blocks)).cast("int")
     counted = sorted(map(tuple, df.groupBy(block.alias("b")).count().collect()))
     matrix = communication_matrix([n for _, n in counted], shards, seed)
     ends = np.cumsum(matrix, axis=1)
     dealt = spark.createDataFrame([(b, n, e.tolist()) for (b, n), e in zip(counted, ends)], "_block int, _rows long, _ends array<long>")
     dealt_bytes = len(counted) * (shards + 2) * 8
-    bits = max(0, (groups_for(rows) // shards - 1).bit_length())
+    bits = max(0, (blocks // shards - 1).bit_length())
 
     def placed(frame: DataFrame) -> DataFrame:
         """From block and rank: the shard, the key that orders it, and the cell of that order."""
@@ -73,7 +76,7 @@ def shuffle_into_shards(df: DataFrame, shards: int = 8, id_col: str = "doc_id",
         at, last = at + n, shard
     starts_df = spark.createDataFrame(starts, "_shard int, _cell long, _start long")
 
-    work = packed(df, _block=block, _id=F.col(id_col), _hash=F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind]))
+    work = packed(df, _block=block, _id=F.col(id_col), _hash=contents)
     local = Window.partitionBy("_block").orderBy(F.xxhash64(F.lit(seed + 1), F.col("_id")), "_id", "_hash")
     ranked = work.withColumn("_rank", (F.row_number().over(local) - 1).cast("long")).drop("_id", "_hash")
     sent = placed(ranked.join(small_or_shuffled(dealt, dealt_bytes), "_block")).drop("_ends", "_rows")
