@@ -83,16 +83,19 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000, dims: in
 
     The driver receives ``sample`` rows of 2,052 two-byte numbers (16 MB).
     Rows with a null label or id are no training rows; an id labelled twice
-    counts with its mean label. Without any row, scores are one half.
+    counts with its mean label, and one that has several texts with that of the
+    smallest hash, chosen before anything reaches the driver. Without any row,
+    scores are one half.
     """
     chosen = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col)).groupBy(F.col(id_col).alias("_id")).agg(F.avg(F.col(label_col).cast("double")).alias("_label")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text")).join(F.broadcast(chosen), "_id")
+    texts = texts.groupBy("_id", "_label").agg(F.min(F.struct(F.xxhash64("_text").alias("hash"), F.col("_text").alias("text")))["text"].alias("_text"))
 
     @F.pandas_udf("binary")
     def counted(batch: pd.Series) -> pd.Series:
         return batch.map(lambda t: term_counts(t).astype(np.float16).tobytes())
 
-    rows = texts.select("_id", "_label", counted("_text").alias("c")).toPandas().sort_values("_id", kind="stable").drop_duplicates("_id")
+    rows = texts.select("_id", "_label", counted("_text").alias("c")).toPandas().sort_values("_id", kind="stable")
     if rows.empty:
         return VotingModel(np.ones(TERMS, np.float32), np.zeros((TERMS + SHAPES, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), 0.5)
     counts = np.stack([np.frombuffer(c, np.float16) for c in rows["c"]]).astype(np.float32)
