@@ -249,6 +249,7 @@ def simhash_groups(df: DataFrame, words: int = 4, distance: int = 4, id_col: str
     distinct = settle(hashed.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     roots = connected_components(hamming_links(distinct.select("fp"), distance))
     labelled = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    least = labelled.groupBy("root").agg(F.min("rep").alias("component_id"))
+    # Settled: with an exchange of its own on either side, the join can split a component that fills the corpus.
+    least = settle(labelled.groupBy("root").agg(F.min("rep").alias("component_id")))
     named = labelled.join(least, "root").select("fp", "component_id")
     return hashed.join(named, "fp").select("doc_id", "fp", "component_id")
