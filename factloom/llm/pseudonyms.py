@@ -4,8 +4,10 @@ A found value is read as a number in the range of its format (digits by place,
 letters by place, days since 1900), permuted within that range by a Feistel
 network with cycle walking, and written back in the same format. Checked
 formats stay valid: check digits are computed anew. The permutation depends on
-the key and the kind alone, so equal values stay equal in every document and
-different ones stay different; whoever has the key can undo it.
+the key, the kind and the value alone, however it is written: spaces, marks, the
+order of a date's parts, the case of an address and the place where a telephone
+number's country code ends make no difference. So equal values stay equal in
+every document and different ones stay different; whoever has the key can undo it.
 """
 
 from __future__ import annotations
@@ -109,11 +111,31 @@ def _ssn(m: re.Match, key: bytes, inverse: bool) -> str | None:
     return f"{area:03d}-{group + 1:02d}-{serial + 1:04d}"
 
 
+# Country calling codes of one and of two digits; all others have three.
+SHORT_CODES = set("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
+def _number(code: str, rest: str, key: bytes, inverse: bool) -> str:
+    """The permuted subscriber digits. Ten digits under code 1 stay dialable if they are, and only then."""
+    dialable = lambda x: code == "1" and len(x) == 10 and x[0] > "1" and x[3] > "1"
+    new = rest
+    while True:
+        new = permute_characters(new, key, "phone", inverse)
+        if dialable(new) == dialable(rest):
+            return new
+
+
 def _phone(m: re.Match, key: bytes, inverse: bool) -> str | None:
-    digits = re.sub(r"\D", "", m["rest"])
-    if not 7 <= len(digits) <= 13:
+    digits = re.sub(r"\D", "", m[0])
+    code = next((digits[:n] for n in (1, 2) if digits[:n] in SHORT_CODES), digits[:3])
+    rest = digits[len(code) :]
+    if not 7 <= len(rest) <= 13:
         return None
-    return m["code"] + regrouped(m["rest"], permute_characters(digits, key, "phone", inverse))
+    return regrouped(m[0], code + _number(code, rest, key, inverse))
+
+
+def _national(m: re.Match, key: bytes, inverse: bool) -> str | None:
+    return regrouped(m[0], _number("1", re.sub(r"\D", "", m[0]), key, inverse))
 
 
 def _ip(m: re.Match, key: bytes, inverse: bool) -> str | None:
@@ -143,12 +165,12 @@ def _date(m: re.Match, key: bytes, inverse: bool) -> str | None:
         return None
     if not 0 <= at < DAYS:
         return None
-    # Days whose month-first reading would differ from the day-first one keep to their own order.
+    # Days up to the 12th stay so, as do later ones, in any order: else a date with the month first could be read otherwise.
     new = at
     while True:
-        new = permute(new, DAYS, key, "date" + "".join(order), inverse)
+        new = permute(new, DAYS, key, "date", inverse)
         found = FIRST_DAY + timedelta(days=new)
-        if order != ("m", "d", "y") or found.day > 12:
+        if (found.day > 12) == (day > 12):
             break
     values = {"y": f"{found.year:04d}", "m": f"{found.month:02d}", "d": f"{found.day:02d}"}
     return sep.join(values[x] for x in order)
@@ -156,7 +178,8 @@ def _date(m: re.Match, key: bytes, inverse: bool) -> str | None:
 
 def _email(m: re.Match, key: bytes, inverse: bool) -> str | None:
     head, dot, tail = m[0].rpartition(".")
-    return permute_characters(head, key, "email", inverse) + dot + tail
+    new = permute_characters(head.lower(), key, "email", inverse)
+    return "".join(b.upper() if a.isupper() else b for a, b in zip(head, new)) + dot + tail
 
 
 def _secret(m: re.Match, key: bytes, inverse: bool) -> str | None:
@@ -165,13 +188,14 @@ def _secret(m: re.Match, key: bytes, inverse: bool) -> str | None:
     return m[0][: m.start("value") - m.start()] + new + m[0][m.end("value") - m.start() :]
 
 
-#: kind, text a document must hold for the pattern to be tried (None: a digit), pattern, replacement. Earlier kinds win.
-KINDS: list[tuple[str, str | None, re.Pattern, Callable[[re.Match, bytes, bool], str | None]]] = [
-    ("email", "@", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])"), _email),
-    ("secret", None, re.compile(r"(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?(?P<value>[A-Za-z0-9_/+-]{16,512})"), _secret),
-    ("secret", None, re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)(?P<value>[A-Z0-9]{16})(?![A-Za-z0-9])"), _secret),
+#: kind, texts of which a document must hold one for the pattern to be tried, case aside (None: a digit), pattern, replacement. Earlier kinds win.
+KINDS: list[tuple[str, tuple[str, ...] | None, re.Pattern, Callable[[re.Match, bytes, bool], str | None]]] = [
+    ("email", ("@",), re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])"), _email),
+    ("secret", ("token", "secret", "passw", "key"), re.compile(r"(?i:token|secret|password|passwd|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?(?P<value>[A-Za-z0-9_/+-]{16,512})"), _secret),
+    ("secret", ("akia", "asia"), re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)(?P<value>[A-Z0-9]{16})(?![A-Za-z0-9])"), _secret),
     ("iban", None, re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])"), _iban),
-    ("phone", None, re.compile(r"(?P<code>(?<![\w+])\+\d{1,3}[ .-]?)(?P<rest>\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4})(?!\d)|(?P<none>(?!))"), _phone),
+    ("phone", None, re.compile(r"(?P<code>(?<![\w+])\+\d{1,3}[ .-]?)(?P<rest>\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4})(?!\d)"), _phone),
+    ("phone", None, re.compile(r"(?<![\w+.-])(?:\([2-9]\d{2}\) ?[2-9]\d{2}[ .-]|[2-9]\d{2}(?P<mark>[.-])[2-9]\d{2}(?P=mark))\d{4}(?![\w-]|\.\d)"), _national),
     ("card", None, re.compile(r"(?<![\w.+-])\d{4}(?:[ -]?\d{2,6}){2,4}(?![\w-])"), _card),
     ("ssn", None, re.compile(r"(?<![\w-])(\d{3})-(\d{2})-(\d{4})(?![\w-])"), _ssn),
     ("date", None, re.compile(r"(?<![\w./-])(?:(?P<y1>\d{4})(?P<s1>[-/.])(?P<m1>\d{2})(?P=s1)(?P<d1>\d{2})|(?P<d2>\d{2})(?P<s2>[-/.])(?P<m2>\d{2})(?P=s2)(?P<y2>\d{4}))(?![\w-]|[./]\d)"), _date),
@@ -210,9 +234,9 @@ def _within(m: re.Match, part: re.Pattern, replace: Callable, key: bytes, invers
 
 def pseudonymise(text: str, key: bytes, inverse: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with every found value replaced, and (kind, start, end) of each in the old text."""
-    digits, spans = _DIGIT.search(text), []
+    digits, lower, spans = _DIGIT.search(text), text.lower(), []
     for kind, needs, pattern, replace in KINDS:
-        if (needs not in text) if needs else not digits:
+        if not (any(x in lower for x in needs) if needs else digits):
             continue
         free = lambda start, end: all(end <= a or start >= b for a, b, _, _ in spans)
         at = 0
@@ -243,9 +267,10 @@ def pseudonymise_documents(df: DataFrame, key: bytes, text_col: str = "text", in
     """Replace personal values in every text; add ``found``: kind and place of each in the old text.
 
     Emails, secrets after a telling name, IBANs, phone numbers with a country
-    code, payment cards, social security numbers, dates and IPv4 addresses
-    count; numbers with check digits and dates only if they are valid. Nothing
-    else of a text changes. ``inverse`` takes a pseudonymised text back.
+    code or as North American ones are written without, payment cards, social
+    security numbers, dates and IPv4 addresses count; numbers with check digits
+    and dates only if they are valid. Nothing else of a text changes. ``inverse``
+    takes a pseudonymised text back.
 
     A null text stays null and an empty one empty, both with nothing found; very
     long texts are read whole; rows are independent, so repeated rows, ties and

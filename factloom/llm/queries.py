@@ -68,7 +68,8 @@ def op7_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii_feistel(spark: SparkSession, sf_dir: str, key: bytes = b"factloom test key") -> DataFrame:
-    """Every document with its pseudonymised text; a deployment passes its own key."""
+    """Every document with its pseudonymised text; a deployment sets its own key as ``spark.factloom.pseudonymKey``."""
+    key = spark.conf.get("spark.factloom.pseudonymKey", "").encode() or key
     done = pseudonymise_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), key)
     return done.select("doc_id", "text", (F.size("found") > 0).alias("changed"), F.size("found").cast("int").alias("n_found"))
 

@@ -143,6 +143,36 @@ def test_values_beside_other_numbers_and_words():
     assert len(found) == 2 and pseudonymise("4111 1111 1111 1112 05/27", KEY)[1] == []
 
 
+def test_links_do_not_depend_on_the_format():
+    only = lambda text: [re.sub(r"[^0-9A-Za-z]", "", pseudonymise(text, KEY)[0][a:b]) for _, a, b in pseudonymise(text, KEY)[1]]
+    for a, b in [("+1 743 555 3824", "+17435553824"), ("+44 20 7946 0958", "+442079460958"), ("4111 1111 1111 1111", "4111-1111-1111-1111"), ("DE89 3704 0044 0532 0130 00", "DE89370400440532013000")]:
+        assert only(a) == only(b) and len(only(a)) == 1 and only(a) != [re.sub(r"[^0-9A-Za-z]", "", a)], (a, b)
+    assert only("+1 743 555 3824")[0] == "1" + only("call (743) 555-3824")[0] == "1" + only("743.555.3824")[0]
+    parts = lambda text: sorted(re.findall(r"\d+", pseudonymise(text, KEY)[0]))
+    assert parts("1990-02-28") == parts("28.02.1990") == parts("02/28/1990") != ["02", "1990", "28"] and parts("1990-02-03") == parts("03.02.1990")
+    assert pseudonymise("Ann.Lee@Mail.example.com", KEY)[0].lower() == pseudonymise("ann.lee@mail.example.com", KEY)[0]
+    for text in ("password: abcdefghijklmnopqrst", "API_KEY = 'ABCDefghIJKLmnopqrst'"):
+        assert len(pseudonymise(text, KEY)[1]) == 1 and pseudonymise(pseudonymise(text, KEY)[0], KEY, True)[0] == text
+
+
+def test_pseudonyms_can_be_undone_in_any_format():
+    rng = random.Random(12)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    for _ in range(400):
+        y, m, d = rng.randint(1900, 2099), rng.randint(1, 12), rng.randint(1, 28)
+        text = rng.choice([f"{y}-{m:02}-{d:02}", f"{d:02}.{m:02}.{y}", f"{m:02}/{d:02}/{y}", f"+{digits(rng.randint(10, 13))}", f"+{rng.randint(1, 999)} {digits(3)} {digits(4)} {digits(2)}", f"({rng.randint(200, 999)}) {rng.randint(200, 999)}-{digits(4)}", f"Mr.{rng.choice(['Bob', 'eVe'])}@Ex.com"])
+        new, found = pseudonymise(f"see {text}, ok", KEY)
+        assert pseudonymise(new, KEY, inverse=True)[0] == f"see {text}, ok" and len(new) == len(text) + 8
+        assert found or text[0] == "+"
+
+
+def test_a_corpus_is_undone(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    done = pseudonymise_documents(docs, KEY)
+    back = pseudonymise_documents(done.select("doc_id", "text"), KEY, inverse=True)
+    assert back.select("doc_id", "text").exceptAll(docs).count() == 0 and done.where("size(found) > 0").count() > 0
+
+
 def test_pseudonymised_documents(spark):
     rows = [(1, "call +1 (743) 555-3824"), (1, "call +1 (743) 555-3824"), (2, None), (3, ""), (None, "clean text"), (4, "x " * 60000 + "10.0.0.1")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as found", "'m' as _made")
