@@ -37,6 +37,37 @@ def test_recall_and_scores(spark):
     assert hits / total >= 0.9
 
 
+def test_recall_on_a_larger_table(spark):
+    """Ten thousand vectors against all cosines."""
+    rows = op3_neighbours_additive(spark, "/root/testdata/sf0.1").toPandas()
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").toPandas()
+    unit = np.stack(table["embedding"].to_numpy()).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    ids, hits, total = table["vec_id"].to_numpy(), 0, 0
+    for q in np.flatnonzero(ids % 50 == 0):
+        cosine = unit @ unit[q]
+        cosine[q] = -2
+        best = set(ids[np.argsort(-cosine, kind="stable")[:5]].tolist())
+        hits, total = hits + len(best & set(rows.loc[rows["query_id"] == ids[q], "vec_id"])), total + 5
+    assert len(rows) == total and hits / total >= 0.9
+
+
+def test_repeated_ids_and_other_lengths(spark):
+    rng = np.random.default_rng(5)
+    data = [(i, rng.normal(size=4 + 2 * (i % 3 == 0)).astype(np.float32).tolist()) for i in range(90)]
+    extra = [data[0], data[0], (1, [9.0, 9.0, 9.0, 9.0]), (2, [-9.0, 9.0, 9.0, 9.0]), data[4]]
+    df = spark.createDataFrame(data + extra, "vec_id long, embedding array<float>")
+    one = {}
+    for i, v in data + extra:
+        one[i] = min(one.get(i, v), v)
+    for waves in (16384, 3):
+        got = nearest(df, F.col("vec_id") % 5 == 0, 5, query_block=waves).toPandas()
+        for q in range(0, 90, 5):
+            same = {i: np.array(v) for i, v in one.items() if len(v) == len(one[q])}
+            own = got[got["query_id"] == q].sort_values("rank")
+            assert own["vec_id"].tolist() == [i for i, _ in brute_nearest(same, q, 5)] and own["rank"].tolist() == [1, 2, 3, 4, 5]
+
+
 def test_neighbours_of_odd_vectors(spark):
     data = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [1.0, None]), (6, [float("nan"), 1.0]), (7, [float("inf"), 1.0]), (8, []), (9, [1.0, 2.0, 3.0]), (None, [1.0, 0.0]), (10, [-1.0, 0.5])]
     df = spark.createDataFrame(data, "vec_id long, embedding array<float>").selectExpr("*", "1 as id", "2 as v")
