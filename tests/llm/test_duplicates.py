@@ -12,7 +12,7 @@ from factloom.llm import simhash
 from factloom.llm.components import connected_components
 from factloom.llm.lines import dedup_lines, join_keys, line_forest, long_lines, sketches, verified, within_edits
 from factloom.llm.queries import op4_repeats_suffix_array, op9_line_dedup_segments, op10_simhash_pigeonhole
-from factloom.llm.suffixes import gram_hashes, repeated_passages
+from factloom.llm.suffixes import gram_hashes, repeated_passages, word_hashes
 
 SF = "/root/testdata/sf0.001"
 
@@ -333,6 +333,23 @@ def test_passages_equal_brute_force(spark):
     assert all(r["other_id"] != r["doc_id"] for r in got)
 
 
+def test_heads_in_pieces(spark):
+    """A head that many texts share is sorted in pieces, which find each other's windows."""
+    docs = passages(4, 60) + [(200 + i, f"own{i} " * (i % 7) + " ".join(f"w{k}" for k in range(60)) + f" end{i % 5}") for i in range(40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {(r["doc_id"], r["start"], r["n_words"]) for r in repeated_passages(df, piece=3).collect()} == brute_passages(docs, 50)
+
+
+def test_copies_and_repeated_ids(spark):
+    """Equal texts are whole passages; texts of one id don't repeat each other, but may repeat another's."""
+    shared, lone = " ".join(f"w{k}" for k in range(60)), " ".join(f"z{k}" for k in range(55))
+    rows = [(1, shared), (2, shared), (3, "a b " + shared + " c"), (4, lone), (4, "x " + lone), (5, "y " + shared[:200]), (7, "q " + lone + " r"), (8, "one two")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in repeated_passages(df).collect())
+    assert got == [(1, 0, 60, 2), (2, 0, 60, 1), (3, 2, 60, 1), (4, 0, 55, 7), (4, 1, 55, 7), (5, 1, 52, 1), (7, 1, 55, 4)]
+    assert sorted(tuple(r) for r in repeated_passages(df.where("doc_id = 4")).collect()) == []
+
+
 def test_op4(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     assert {(r["doc_id"], r["start"], r["n_words"]) for r in op4_repeats_suffix_array(spark, SF).collect()} == brute_passages(docs, 50)
@@ -346,6 +363,16 @@ def test_passages_of_odd_rows(spark):
     assert repeated_passages(df.limit(0)).count() == 0 and repeated_passages(df.where("doc_id < 5")).count() == 0
 
 
+def test_words_of_bytes():
+    for text in ("", " ", "a", " a\tbb \x0b\x0cccc\r\n", "é\u00a0ü x\u2003y", "long " * 50 + "z" * 300 + " end"):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        for most in (7, 1 << 20):
+            found, starts = word_hashes(raw, most)
+            words = text.encode().split()
+            assert len(found) == len(words) and all(raw[s : s + len(w)].tobytes() == w for s, w in zip(starts, words))
+            assert {w: h for w, h in zip(words, found.tolist())} == dict(zip(words, found.tolist())) and len(set(found.tolist())) == len(set(words))
+
+
 def test_gram_hashes():
     w = np.random.default_rng(0).integers(0, 1 << 62, 90).astype(np.uint64)
     for n in (1, 2, 3, 8, 34, 90):
