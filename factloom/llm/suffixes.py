@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import settle, small_or_shuffled, text_of
+from .common import settle, text_of
 from .lines import _mixed, _powers
 
 GRAM, SPAN = 8, 17
@@ -111,17 +111,26 @@ def _slices(batches: Iterator[pa.RecordBatch], column: int, most: int = 1 << 20)
 
 
 def heads(docs: DataFrame, least: int) -> DataFrame:
-    """(head, t, u, doc_id, place) of every kept suffix; t and u are the text's hashes."""
+    """(head, t, u, doc_id, place, whole) of every kept suffix; t and u are the text's hashes.
+
+    A text of ``least`` words also has a row ``whole``: its head is t, its place the number of words.
+    """
+    names = ["head", "t", "u", "doc_id", "place", "whole"]
+
+    def rows(part: pa.RecordBatch, text: np.ndarray, head: pa.Array, place: np.ndarray, whole: bool) -> pa.RecordBatch:
+        own = pa.array(text)
+        return pa.RecordBatch.from_arrays([head, *(part.column(i).take(own) for i in (1, 2, 0)), pa.array(place.astype(np.int32)), pa.array(np.full(len(text), whole))], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _slices(batches, 3):
             words, begin, end = joined_words(part.column(3))
             text, place, head = kept_suffixes(words, begin, end, least)
             if len(text):
-                own = pa.array(text)
-                yield pa.RecordBatch.from_arrays([pa.array(head.view(np.int64)), part.column(1).take(own), part.column(2).take(own), part.column(0).take(own), pa.array((place - begin[text]).astype(np.int32))], ["head", "t", "u", "doc_id", "place"])
+                yield rows(part, text, pa.array(head.view(np.int64)), place - begin[text], False)
+            if len(long := np.flatnonzero(end - begin >= least)):
+                yield rows(part, long, part.column(1).take(pa.array(long)), (end - begin)[long], True)
 
-    return docs.select("_id", "t", "u", "_text").mapInArrow(run, "head long, t long, u long, doc_id long, place int")
+    return docs.select("_id", "t", "u", "_text").mapInArrow(run, "head long, t long, u long, doc_id long, place int, whole boolean")
 
 
 def suffix_rows(docs: DataFrame, least: int) -> DataFrame:
@@ -246,7 +255,7 @@ def _matches(least: int):
     return run
 
 
-def repeated_passages(df: DataFrame, least: int = 50, id_col: str = "doc_id", text_col: str = "text", piece: int = 1 << 16) -> DataFrame:
+def repeated_passages(df: DataFrame, least: int = 50, id_col: str = "doc_id", text_col: str = "text", piece: int = 1 << 12) -> DataFrame:
     """Passages of at least ``least`` words that another document holds too: doc_id, start, n_words, other_id.
 
     Words are what white space parts, compared by hashes of 64 bits; equal texts
@@ -265,14 +274,14 @@ def repeated_passages(df: DataFrame, least: int = 50, id_col: str = "doc_id", te
         raise ValueError(f"least must be {SPAN + GRAM} or more")
     named = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), text_of(text_col).alias("_text"))
     docs = named.select("_id", F.xxhash64("_text").alias("t"), F.xxhash64(F.lit(1), "_text").alias("u"), "_text")
-    marks = settle(docs.select("_id", "t", "u", F.regexp_count("_text", F.lit(r"\S+")).alias("words")).where(F.col("words") >= least).distinct())
-    texts = settle(marks.groupBy("t", "u").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"), F.first("words").alias("words")))
+    of = F.when(F.col("whole"), F.col("doc_id")).otherwise(F.col("t"))
+    counted = heads(docs, least).groupBy("whole", "head", F.when(F.col("whole"), F.col("u")).alias("u")).agg(F.min(of).alias("a"), F.max(of).alias("b"), F.count("*").alias("n"), F.max("place").alias("words"))
     # Settled: with an exchange of its own on either side, the joins can split a head or text that fills the corpus.
-    shared = settle(heads(docs, least).groupBy("head").agg(F.min("t").alias("a"), F.max("t").alias("b"), F.count("*").alias("n")).where("a < b").select("head", F.ceil(F.col("n") / piece).cast("long").alias("pieces")))
-    places = heads(docs, least).join(shared, "head").groupBy("t", "u").agg(F.collect_set(F.struct("place", "pieces")).alias("_places"))
-    places = settle(places.join(texts, ["t", "u"]).select(F.col("t"), "lo", "hi", "_places"))
-    size = places.agg(F.sum(F.size("_places") * 16 + 40).alias("n")).first()["n"] or 0
-    asked = small_or_shuffled(places.withColumnRenamed("t", "_t"), size)
+    counted = settle(counted.where("whole or a < b"))
+    shared = counted.where("not whole").select("head", F.ceil(F.col("n") / piece).cast("long").alias("pieces"))
+    texts = counted.where("whole").select(F.col("head").alias("t"), "u", F.col("a").alias("lo"), F.col("b").alias("hi"), "words")
+    places = heads(docs, least).where("not whole").join(shared, "head").groupBy("t", "u").agg(F.collect_set(F.struct("place", "pieces")).alias("_places"))
+    asked = settle(places.join(texts, ["t", "u"]).select(F.col("t").alias("_t"), "lo", "hi", "_places"))
     wanted = docs.join(asked, (docs["_id"] == asked["lo"]) & (docs["t"] == asked["_t"])).select("lo", "t", "hi", "_text", "_places")
     dealt = suffix_rows(wanted, least).repartition("head", "salt").sortWithinPartitions("head", "after")
     found = settle(dealt.select("head", "many", "t", "lo", "hi", "place", "before", "after").mapInArrow(_matches(least), FOUND))
@@ -288,7 +297,7 @@ def repeated_passages(df: DataFrame, least: int = 50, id_col: str = "doc_id", te
     # A text of one document has its own passages; one of several is a passage as a whole.
     alone = merged.join(texts.where("lo = hi").select("t", "lo"), ["t", "lo"]).select(F.col("lo").alias("doc_id"), "start", (F.col("end") - F.col("start")).cast("int").alias("n_words"), "other_id")
     least_other = settle(texts.where("lo < hi").join(merged.groupBy("t", "lo").agg(F.min("other_id").alias("other")), ["t", "lo"], "left"))
-    copies = marks.select("_id", "t", "u").join(least_other, ["t", "u"])
+    copies = docs.select("_id", "t", "u").join(least_other, ["t", "u"]).distinct()
     copy = F.when(F.col("_id") == F.col("lo"), F.col("hi")).otherwise(F.col("lo"))
     other = F.when(F.col("other") == F.col("_id"), copy).otherwise(F.least(copy, "other"))
     return alone.unionByName(copies.select(F.col("_id").alias("doc_id"), F.lit(0).alias("start"), F.col("words").cast("int").alias("n_words"), other.alias("other_id")))
