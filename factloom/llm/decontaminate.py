@@ -12,6 +12,8 @@ placeholders are not.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +26,13 @@ NUMBER_WORDS = "two three four five six seven eight nine ten eleven twelve thirt
 UNITS = "mm cm m km inch inches foot feet yard yards mile miles g kg mg gram grams kilogram kilograms pound pounds ounce ounces ton tons ml l liter liters litre litres gallon gallons second seconds minute minutes hour hours day days week weeks month months year years dollar dollars euro euros cent cents percent degree degrees meter meters metre metres kilometer kilometers kilometre kilometres mph kmh watt watts volt volts"
 
 
-def _any(words: str) -> str:
-    return "|".join(sorted(words.split(), key=lambda w: (-len(w), w)))
+#: Letters of scripts that put no spaces between words: each counts as a word.
+UNSPACED = "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]"
+
+
+def spaced(text: Column) -> Column:
+    """The text with each letter of a script without spaces as a word of its own."""
+    return F.when(text.rlike(UNSPACED), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text)
 
 
 def marked(text: Column) -> Column:
@@ -72,34 +79,34 @@ def _window_hashes(hashes: Column, width: int) -> Column:
 
 def _aligned(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(_id, _t, _r, _e): template words, raw words and bare words, without words of marks alone."""
-    text = text_of(text_col)
+    df = df.select(F.col(id_col).alias("_id"), spaced(text_of(text_col)).alias("_text"))
+    text = F.col("_text")
     # marked() empties words of marks alone, and the split swallows their places: so they go from the raw text too.
     raw = F.regexp_replace(text, r"(?<!\S)[^\p{L}\p{N}\x01-\x03\s]+(?!\S)", "")
-    both = df.select(F.col(id_col).alias("_id"), F.arrays_zip(F.split(marked(text), r"\s+").alias("t"), F.split(raw, r"\s+").alias("r"), F.split(bare_words(text), r"\s+").alias("e")).alias("_z"))
+    both = df.select("_id", F.arrays_zip(F.split(marked(text), r"\s+").alias("t"), F.split(raw, r"\s+").alias("r"), F.split(bare_words(text), r"\s+").alias("e")).alias("_z"))
     kept = both.select("_id", F.filter("_z", lambda z: z["t"] != "").alias("_z"))
     words = kept.select("_id", F.col("_z.t").alias("_w"), F.col("_z.r").alias("_r"), F.col("_z.e").alias("_e"))
     return words.select("_id", typed(F.col("_w")).alias("_t"), "_r", "_e")
 
 
 def _windows(aligned: DataFrame, width: int) -> DataFrame:
-    """(_id, at, hash, exact, lettered, slots, width): a row for each window.
+    """(_id, at, hash, exact, slots, width): a row for each window.
 
-    ``hash`` is of the template words, ``exact`` of the bare words, ``lettered`` whether
-    one of these has a letter; slots are the values behind the placeholders.
+    ``hash`` is of the template words, ``exact`` of the bare words; slots are the
+    values behind the placeholders.
     """
     bare = lambda w: F.lower(F.regexp_replace(w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
     words = F.transform(F.arrays_zip(F.col("_t").alias("kind"), F.col("_r").alias("value")), lambda z: F.struct(z["kind"].alias("kind"), F.when(z["kind"].isin(NAME, NUMBER, UNIT), bare(z["value"])).alias("value")))
     # No filter on the number of words here: pushed down, it would compute the words twice, and of all documents.
-    ready = aligned.select("_id", _hashes(F.col("_t")).alias("_h"), _hashes(F.col("_e")).alias("_g"), F.transform("_e", lambda w: w.rlike(r"\p{L}")).alias("_l"), words.alias("_z"))
+    ready = aligned.select("_id", _hashes(F.col("_t")).alias("_h"), _hashes(F.col("_e")).alias("_g"), words.alias("_z"))
 
     def window(at: Column) -> Column:
         near = F.array(*[F.get("_z", at + k) for k in range(width)])
-        lettered = F.exists(F.array(*[F.get("_l", at + k) for k in range(width)]), lambda x: x)
-        return F.struct(at.alias("at"), _window_hash(F.col("_h"), at, width).alias("hash"), _window_hash(F.col("_g"), at, width).alias("exact"), lettered.alias("lettered"), F.filter(near, lambda z: z["kind"].isin(NAME, NUMBER, UNIT)).alias("slots"))
+        return F.struct(at.alias("at"), _window_hash(F.col("_h"), at, width).alias("hash"), _window_hash(F.col("_g"), at, width).alias("exact"), F.filter(near, lambda z: z["kind"].isin(NAME, NUMBER, UNIT)).alias("slots"))
 
     # The generator makes the windows, so that no row carries a document's words.
     rows = ready.select("_id", F.explode(F.transform(_starts(F.col("_h"), width), window)).alias("w"))
-    return rows.select("_id", "w.at", "w.hash", "w.exact", "w.lettered", "w.slots", F.lit(width).alias("width"))
+    return rows.select("_id", "w.at", "w.hash", "w.exact", "w.slots", F.lit(width).alias("width"))
 
 
 def _keyed(windows: DataFrame, *more: str, by_template: Column, by_words: Column) -> DataFrame:
@@ -110,7 +117,7 @@ def _keyed(windows: DataFrame, *more: str, by_template: Column, by_words: Column
     return rows.select("_id", "at", "slots", "width", *more, "k.key", "k.loose")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, run: int = 13, literals: int = 4, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", figures: bool = False) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, run: int = 13, literals: int = 4, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Matches of documents with benchmark items: doc_id, item_id, words, first_word, kind.
 
     A match is an alignment of a document with an item on which at least ``run``
@@ -123,41 +130,44 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, run: int
     words. Templates with fewer than ``literals`` plain words (half the words, in
     items shorter than ``width``) say too little and are matched by the words
     alone; of an item that has too few other templates for ``run`` words, it is
-    enough if all of them match. Windows without a single letter are matched only
-    with ``figures``, which the query and ``decontaminate`` set: without it an item
-    of nothing but numbers is not found. Items of one white-space word, which takes in
-    whole questions in scripts without spaces, are not matched. A null or empty text
-    matches nothing; texts are read whole; rows that repeat an id are matched as
+    enough if all of them match. So the very words of an item are found whatever
+    they are, an item of one word included. In scripts without spaces each letter
+    is a word. A null or empty text matches nothing; texts are read whole; rows that repeat an id are matched as
     one document; rows with a null id are not reported. Other columns are not
     read. An empty table on either side gives an empty result.
     """
     items = settle(_aligned(benchmark.where(F.col(item_col).isNotNull()), item_col, item_text_col))
     # Windows are ``width`` words, but for items that have fewer.
-    sizes = [r[0] for r in items.select(F.least(F.size("_t"), F.lit(width)).alias("n")).where("n > 1").distinct().collect()]
-    found = None
-    for n in sorted(sizes):
+    sizes = sorted(r[0] for r in items.select(F.least(F.size("_t"), F.lit(width)).alias("n")).where("n > 0").distinct().collect())
+    keys = []
+    for n in sizes:
         own = items.where(F.size("_t") >= width if n == width else F.size("_t") == n)
         mine = _windows(own, n).join(own.select("_id", F.size("_t").alias("words")), "_id")
         telling = n - F.size("slots") >= min(literals, (n + 1) // 2)
-        kept = _keyed(mine, "words", by_template=telling, by_words=F.lit(True) if figures else F.col("lettered"))
+        kept = _keyed(mine, "words", by_template=telling, by_words=F.lit(True))
         kept = settle(kept.select(F.col("_id").alias("item"), F.col("at").alias("item_at"), F.col("key"), F.col("slots").alias("item_slots"), "words", "width", F.col("loose").alias("item_loose")).distinct())
         enough = kept.groupBy("item").agg(F.least(F.lit(run), F.first("words")).alias("needed"), F.least(F.lit(run), F.first("words"), F.count_distinct(F.when(F.col("item_loose"), F.col("item_at"))) + n - 1).alias("needed_loose"))
-        kept = settle(kept.join(enough, "item"))
-        count = kept.count()
+        keys.append(kept.join(enough, "item"))
+    found = None
+    if keys:
+        kept = settle(reduce(DataFrame.unionByName, keys))
+        values = F.aggregate("item_slots", F.lit(0), lambda n, s: n + 40 + F.length(F.coalesce(s["value"], F.lit(""))) * 4)
+        count, size = kept.agg(F.count("*"), F.coalesce(F.sum(values + 120), F.lit(0))).first()
         hashes = kept.select(F.col("key").alias("hash")).distinct()
-        text = text_of(text_col)
         split = lambda t: F.array_remove(F.split(t, r"\s+"), "")
-        words = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), split(marked(text)).alias("_w"), split(bare_words(text)).alias("_e"))
+        texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), spaced(text_of(text_col)).alias("_text"))
+        words = texts.select("_id", split(marked(F.col("_text"))).alias("_w"), split(bare_words(F.col("_text"))).alias("_e"))
         hashed = words.select("_id", _hashes(typed(F.col("_w"))).alias("_h"), _hashes(F.col("_e")).alias("_g"))
-        seen = hashed.select("_id", F.explode(F.array_union(_window_hashes(F.col("_h"), n), _window_hashes(F.col("_g"), n))).alias("hash"))
-        suspects = settle(seen.join(small_or_shuffled(hashes, count * 8), "hash", "left_semi").select("_id").distinct())
+        every = F.array_distinct(F.concat(*[_window_hashes(F.col(side), n) for n in sizes for side in ("_h", "_g")]))
+        seen = hashed.select("_id", F.explode(every).alias("hash"))
+        suspects = settle(seen.join(small_or_shuffled(hashes, count * 16), "hash", "left_semi").select("_id").distinct())
         near = docs.join(small_or_shuffled(suspects, suspects.count() * 16), docs[id_col] == suspects["_id"], "left_semi")
-        theirs = _keyed(_windows(_aligned(near, id_col, text_col), n), by_template=F.lit(True), by_words=F.lit(True))
-        full = theirs.join(small_or_shuffled(kept, count * 200), ["key", "width"])
+        near = settle(_aligned(near, id_col, text_col))
+        theirs = reduce(DataFrame.unionByName, [_keyed(_windows(near, n), by_template=F.lit(True), by_words=F.lit(True)) for n in sizes])
+        full = theirs.join(small_or_shuffled(kept, size), ["key", "width"])
         # Windows of equal words have equal values, whatever the case makes of them.
         values = F.when(F.col("loose") & F.col("item_loose"), F.col("slots")).otherwise(F.col("item_slots"))
-        pairs = full.select(F.col("_id").alias("doc"), "item", (F.col("at") - F.col("item_at")).alias("shift"), "at", "words", "needed", "needed_loose", (F.col("loose") & F.col("item_loose")).alias("loose"), F.arrays_zip(F.col("item_slots").alias("i"), values.alias("d")).alias("z"))
-        found = pairs if found is None else found.unionByName(pairs)
+        found = full.select(F.col("_id").alias("doc"), "item", (F.col("at") - F.col("item_at")).alias("shift"), "at", "words", "needed", "needed_loose", (F.col("loose") & F.col("item_loose")).alias("loose"), F.arrays_zip(F.col("item_slots").alias("i"), values.alias("d")).alias("z"))
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, item_id {benchmark.schema[item_col].dataType.simpleString()}, words int, first_word int, kind string"
     if found is None:
         return docs.sparkSession.createDataFrame([], schema)
@@ -179,5 +189,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, run: int
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The documents without those that hold a benchmark item; rows with a null id stay."""
-    bad = settle(contaminated(docs, benchmark, id_col=id_col, **{"figures": True} | options).select(F.col("doc_id").alias("_bad")).distinct())
+    bad = settle(contaminated(docs, benchmark, id_col=id_col, **options).select(F.col("doc_id").alias("_bad")).distinct())
     return docs.join(small_or_shuffled(bad, bad.count() * 16), docs[id_col] == bad["_bad"], "left_anti")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -51,7 +52,7 @@ def test_equal_words_match_whatever_their_templates(spark):
     names = "Alice Bob Carol David Erin Frank Grace Heidi Ivan Judy Kevin Laura Mallory Niaj Olivia Peggy"
     items = [sums, names, names.upper(), ITEM]
     texts = ["pad " + sums, "pad " + names, names.lower(), "pad " + ITEM.upper().replace(" ", "!! "), "pad " + ITEM.title(), "pad " + sums.replace("1", "9"), "pad " + " ".join(reversed(names.split()))]
-    got = hits(spark, texts, items, figures=True)
+    got = hits(spark, texts, items)
     assert set(got) == {(0, 0), (1, 1), (1, 2), (2, 1), (2, 2), (3, 3), (4, 3)} and set(got.values()) == {"verbatim"}
     docs = spark.createDataFrame([(1, "pad " + sums), (2, "clean text")], "doc_id long, text string")
     assert [r["doc_id"] for r in decontaminate(docs, spark.createDataFrame([(1, sums)], "item_id long, text string")).collect()] == [2]
@@ -59,7 +60,7 @@ def test_equal_words_match_whatever_their_templates(spark):
 
 def test_equal_numbers_behind_do_not_undo_a_template_match(spark):
     item = "yesterday our friend Robert walked along the old river road with many happy children and dogs then 1 2 3 4 5 6 Robert 7 8"
-    assert hits(spark, [item.replace("Robert walked", "Maria walked")], [item], figures=True) == {(0, 0): "reparameterised"}
+    assert hits(spark, [item.replace("Robert walked", "Maria walked")], [item]) == {(0, 0): "reparameterised"}
 
 
 @pytest.mark.parametrize("marks", [" - ", " & ", " = ", " \u2014 "])
@@ -71,14 +72,84 @@ def test_words_of_marks_alone_shift_no_slots(spark, marks):
     assert hits(spark, texts, [item]) == {(0, 0): "verbatim", (1, 0): "reparameterised", (3, 0): "verbatim"}
 
 
-def test_placeholders_alone_match_nothing(spark):
+def test_placeholders_alone_match_their_very_words_only(spark):
     numbers = " ".join(str(i) for i in range(40))
-    assert hits(spark, [numbers, "so " + " ".join(f"The {i} Bob 9" for i in range(20))], [numbers]) == {}
+    other = " ".join(str(i) for i in range(50, 90))
+    assert hits(spark, [numbers, other, "so " + " ".join(f"The {i} Bob 9" for i in range(20))], [numbers]) == {(0, 0): "verbatim"}
 
 
 def test_short_items(spark):
     got = hits(spark, ["before what is the capital town called after", "what is a capital town"], ["what is the capital town called", "town", ""])
-    assert got == {(0, 0): "verbatim"}
+    assert got == {(0, 0): "verbatim", (0, 1): "verbatim", (1, 1): "verbatim"}
+
+
+def test_scripts_without_spaces(spark):
+    item = "\u5317\u4eac\u662f\u4e2d\u56fd\u7684\u9996\u90fd\u5417\u8bf7\u56de\u7b54\u8fd9\u4e2a\u95ee\u9898"
+    texts = ["\u524d\u8a00" + item + "\u540e\u8a18", item[:9], item.replace("\u5417", "\u7d93"), "plain words " + item]
+    assert hits(spark, texts, [item, "\u0e2a\u0e27"]) == {(0, 0): "verbatim", (3, 0): "verbatim"}
+
+
+def brute_templates(docs, items):
+    """Alignments of word lists by the rules themselves, for texts of lower-case words, digits, names and number words."""
+    units, numbers = {"miles", "hours", "kg"}, {"two", "seven", "twenty"}
+
+    def template(words):
+        out = []
+        for k, w in enumerate(words):
+            before = words[k - 1] if k else ""
+            if w[0].isupper() and k:
+                out.append("NAME")
+            elif w.isdigit() or w in numbers:
+                out.append("NUMBER")
+            elif w in units and k and (before.isdigit() or before in numbers):
+                out.append("UNIT")
+            else:
+                out.append(w.lower())
+        return out
+
+    found = {}
+    for d, doc in enumerate(docs):
+        for i, item in enumerate(items):
+            a, b = doc.split(), item.split()
+            ta, tb = template(a), template(b)
+            for shift in range(-len(b), len(a)):
+                windows = [k for k in range(len(b) - 7) if 0 <= k + shift <= len(a) - 8 and ta[k + shift : k + shift + 8] == tb[k : k + 8]]
+                places = {k + j for k in windows for j in range(8) if tb[k + j] in ("NAME", "NUMBER", "UNIT")}
+                slots = {(tb[k], b[k].lower(), a[k + shift].lower()) for k in places}
+                one = len({x[:2] for x in slots}) == len(slots) == len({(x[0], x[2]) for x in slots})
+                if windows and len(windows) + 7 >= 13 and one:
+                    same = all(x == y for _, x, y in slots)
+                    found[d, i] = "verbatim" if same or found.get((d, i)) == "verbatim" else "reparameterised"
+    return found
+
+
+def test_templates_equal_brute_force(spark):
+    rng = random.Random(6)
+    plain = "the old river road leads along many quiet houses where people often sit and talk about nothing much".split()
+    names, numbers, units = ["Anna", "Bob", "Carla", "Dan"], ["3", "14", "159", "two", "seven", "twenty"], ["miles", "hours", "kg"]
+
+    def sentence():
+        out = [rng.choice(plain) for _ in range(rng.randint(4, 6))]
+        for _ in range(rng.randint(2, 3)):
+            out += rng.choice([[rng.choice(names)], [rng.choice(numbers)], [rng.choice(numbers), rng.choice(units)]])
+            out += [rng.choice(plain) for _ in range(rng.randint(4, 6))]
+        return out
+
+    items = [sentence() for _ in range(12)]
+    docs = []
+    for _ in range(60):
+        words = list(rng.choice(items))
+        swap = {w: w for w in names + numbers + units}
+        if rng.random() < 0.6:
+            for group in (names, numbers, units):
+                swap |= dict(zip(group, rng.sample(group, len(group))))
+        words = [swap.get(w, w) for w in words]
+        if rng.random() < 0.4:
+            k = rng.randrange(len(words))
+            words[k] = rng.choice(names if words[k] in names else numbers if words[k] in numbers else plain)
+        docs.append(" ".join([rng.choice(plain) for _ in range(rng.randint(1, 5))] + words[rng.randint(0, 3) :]))
+    texts = [" ".join(x) for x in items]
+    assert hits(spark, docs, texts) == brute_templates(docs, texts)
 
 
 def test_items_full_of_numbers(spark):
@@ -86,7 +157,7 @@ def test_items_full_of_numbers(spark):
     other = item.replace("7", "70")
     assert set(hits(spark, ["pad " + item, other, "let 1 2 3 4 5 6 7 8 9 10 then"], [item])) == {(0, 0), (1, 0)}
     few = "add 1 2 3 4 5 6 7 8 9 10 now and see 11 12 13 14 15"
-    assert hits(spark, [few, "pad " + few], [few], literals=3) == {(0, 0): "verbatim", (1, 0): "verbatim"}
+    assert hits(spark, [few, "pad " + few], [few]) == hits(spark, [few, "pad " + few], [few], literals=3) == {(0, 0): "verbatim", (1, 0): "verbatim"}
 
 
 def test_items_little_longer_than_a_window(spark):
