@@ -32,7 +32,8 @@ UNSPACED = "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u
 
 def spaced(text: Column) -> Column:
     """The text with each letter of a script without spaces as a word of its own."""
-    return F.when(text.rlike(UNSPACED), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text)
+    wide = (F.octet_length(text) > F.char_length(text)) & text.rlike(UNSPACED)  # not in ASCII: a quick look saves most searches
+    return F.when(wide, F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text)
 
 
 def marked(text: Column) -> Column:
@@ -59,10 +60,6 @@ def typed(words: Column) -> Column:
     return F.transform(words, one)
 
 
-def _window_hash(hashes: Column, at: Column, width: int) -> Column:
-    return F.xxhash64(F.lit(width), *[F.get(hashes, at + k) for k in range(width)])
-
-
 def _hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
@@ -73,8 +70,8 @@ def _starts(words: Column, width: int) -> Column:
     return F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
 
 
-def _window_hashes(hashes: Column, width: int) -> Column:
-    return F.transform(_starts(hashes, width), lambda at: _window_hash(hashes, at, width))
+def _window_hash(hashes: Column, at: Column, width: int) -> Column:
+    return F.xxhash64(F.lit(width), *[F.get(hashes, at + k) for k in range(width)])
 
 
 def _aligned(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -158,8 +155,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, run: int
         texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), spaced(text_of(text_col)).alias("_text"))
         words = texts.select("_id", split(marked(F.col("_text"))).alias("_w"), split(bare_words(F.col("_text"))).alias("_e"))
         hashed = words.select("_id", _hashes(typed(F.col("_w"))).alias("_h"), _hashes(F.col("_e")).alias("_g"))
-        every = F.array_distinct(F.concat(*[_window_hashes(F.col(side), n) for n in sizes for side in ("_h", "_g")]))
-        seen = hashed.select("_id", F.explode(every).alias("hash"))
+        # A row for each place, not a transformed array: so the windows are hashed in generated code. Null keys match nothing.
+        placed = hashed.select("_id", "_h", "_g", F.explode(_starts(F.col("_h"), sizes[0])).alias("at"))
+        window = lambda side, n: F.when(F.col("at") <= F.size(side) - n, _window_hash(F.col(side), F.col("at"), n))
+        seen = placed.select("_id", F.explode(F.array(*[window(side, n) for n in sizes for side in ("_h", "_g")])).alias("hash"))
         suspects = settle(seen.join(small_or_shuffled(hashes, count * 16), "hash", "left_semi").select("_id").distinct())
         near = docs.join(small_or_shuffled(suspects, suspects.count() * 16), docs[id_col] == suspects["_id"], "left_semi")
         near = settle(_aligned(near, id_col, text_col))
