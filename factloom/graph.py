@@ -38,7 +38,7 @@ def _provenance(df: DataFrame, content_hash: Column, revision: str) -> DataFrame
 
 def merge_nodes(facts: DataFrame, revision: str = "unknown") -> DataFrame:
     """Node facts (schema.NODE_FACT) -> nodes: the last writer by ``ingest_seq`` sets every column of a node_id."""
-    kept = last_wins(facts, "node_id", F.struct("ingest_seq", F.coalesce("source_path", F.lit("")), F.coalesce("line_start", F.lit(0)))).drop("ingest_seq")
+    kept = last_wins(facts, "node_id", F.struct("ingest_seq", F.coalesce("source_path", F.lit("")), F.coalesce("line_start", F.lit(0)), "properties_json")).drop("ingest_seq")
     hash_ = node_hash(F.col("node_type"), F.col("qualified_name"), F.col("display_name"), F.coalesce("properties_json", F.lit("{}")), F.col("source_path"), F.col("line_start"), F.col("line_end"))
     return _provenance(kept, hash_, revision).select("node_id", "node_type", "qualified_name", "display_name", "properties_json", "source_path", "line_start", "line_end", "source_revision", "extractor", "extractor_version", "content_hash", "status", "updated_at")
 

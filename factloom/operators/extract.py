@@ -60,8 +60,8 @@ def union(*frames: DataFrame) -> DataFrame:
 
 
 def _seq(stage: int) -> Column:
-    """Later stages write later; within a stage the order of paths and places decides in the merge."""
-    return F.lit(stage * 10**12)
+    """Later stages write later; within a stage the order of paths and places decides in the merge, however files are split."""
+    return F.lit(10 * stage)
 
 
 # --- symbols -----------------------------------------------------------------
@@ -107,7 +107,7 @@ def named_tags(tags: DataFrame, contexts: DataFrame, language: str) -> DataFrame
 
 def symbols(tags: DataFrame, contexts: DataFrame, language: str = "java") -> Facts:
     """Nodes of symbols and their files, DECLARED_IN, and membership edges where the owner is a node too."""
-    c, seq, by = F.col, _seq(1 if language == "java" else 2) + F.coalesce("seq", F.lit(0)), "universal-ctags-v0.2.1"
+    c, seq, by = F.col, _seq(1 if language == "java" else 2), "universal-ctags-v0.2.1"
     _, owners, members = _scoped(language)
     named = named_tags(tags, contexts, language)
     kept = named.where("qualified_name != ''")
@@ -308,6 +308,10 @@ def services(java_files: DataFrame, nodes: DataFrame) -> Facts:
 # --- permissions -------------------------------------------------------------
 
 
+# Calls that check a permission.
+CHECKS = ("checkPermission", "enforceCallingOrSelfPermission", "enforceCallingPermission", "enforcePermission")
+
+
 def permissions(source_files: DataFrame, nodes: DataFrame, xml_files: DataFrame | None = None, parity: bool = False) -> Facts:
     """Permissions that methods require or enforce, and those that XML declares.
 
@@ -319,8 +323,11 @@ def permissions(source_files: DataFrame, nodes: DataFrame, xml_files: DataFrame
     c, by, seq = F.col, "java_permission_scanner", _seq(7)
     lines = source_files.where(F.contains("text", F.lit("ermission"))).select("path", F.posexplode(tx.lines(c("text"))).alias("at", "content")).select("path", (c("at") + 1).cast("long").alias("line"), "content")
     methods = nodes.where("node_type in ('JAVA_METHOD', 'KOTLIN_METHOD') and line_start is not null").select(c("source_path").alias("path"), c("line_start").alias("line"), c("node_id").alias("method_id"))
-    required = lines.select("path", "line", F.explode(F.regexp_extract_all(F.regexp_extract("content", r"@RequiresPermission\s*\((.*?)\)", 1), F.lit(r'"([a-zA-Z0-9_.]+)"'), F.lit(1))).alias("permission"))
-    checks = r'\b(?:checkPermission|enforceCallingOrSelfPermission|enforceCallingPermission|enforcePermission)\s*\(\s*"([a-zA-Z0-9_.]+)"'
+    # An annotation's strings stand before its first closing parenthesis, a check's name is its first argument.
+    quoted = r'"([\w.]+)"'
+    annotated = F.substring_index(F.regexp_extract("content", r"@RequiresPermission\s*\((.*)", 1), ")", 1)
+    required = lines.where(F.col("content").rlike(r"@RequiresPermission\s*\(.*\)")).select("path", "line", F.explode(F.regexp_extract_all(annotated, F.lit(quoted), F.lit(1))).alias("permission"))
+    checks = rf"\b(?:{'|'.join(CHECKS)})\s*\(\s*{quoted}"
     checked = lines.select("path", "line", F.explode(F.regexp_extract_all("content", F.lit(checks), F.lit(1))).alias("permission"))
     owned = asof(required, methods, "path", "line", "method_id", forward=True).withColumn("edge_type", F.lit("REQUIRES_PERMISSION")).unionByName(
         asof(checked, methods, "path", "line", "method_id").withColumn("edge_type", F.lit("ENFORCES_PERMISSION"))).where("method_id is not null")

@@ -74,7 +74,7 @@ def test_plan(spark, config):
     plan = build_plan(spark, config, read_registry(), files)
     rows = {(r["repository"], r["language"], r["capability"], r["status"], r["files"]) for r in plan.tasks.collect()}
     assert ("frameworks/base", "java", "symbols", "scheduled", 1) in rows and ("frameworks/base", "rust", "native_binder", "unsupported", 1) in rows
-    assert ("vendor", "java", "permission_enforcement", "unsupported", 1) in rows and not [r for r in rows if r[0] == "vendor" and r[1] == "kotlin"]
+    assert ("vendor", "java", "permission_enforcement", "scheduled", 1) in rows and not [r for r in rows if r[0] == "vendor" and r[1] == "kotlin"]
     assert ("gone", "repository", "availability", "missing_repository", 0) in rows
     with pytest.raises(CoverageError):
         build_plan(spark, config, read_registry(), files, strict=True)
