@@ -253,7 +253,8 @@ def test_documents_of_short_lines_stay(spark):
 def test_one_of_each_group_stays(stages):
     from factloom.llm.simhash import simhash_groups
 
-    groups = simhash_groups(stages["line_dedup"]).toPandas()
+    assert corpus_pipeline.WORDS == 5
+    groups = simhash_groups(stages["line_dedup"], corpus_pipeline.WORDS, corpus_pipeline.DISTANCE).toPandas()
     assert ids(stages["near_dedup"]) == set(groups["component_id"])
 
 
@@ -270,5 +271,20 @@ def test_all_that_is_left_is_packed(stages):
     assert packed.groupby("sequence_id")["length"].sum().max() <= 2048
 
 
+def test_stages_on_odd_rows(spark):
+    """Null ids and texts, repeated rows, columns named as outputs, no n_chars; and empty tables."""
+    prose = " ".join(r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").join(spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1"), "doc_id").orderBy("doc_id").limit(3).collect())
+    rows = [(1, prose), (1, prose), (None, prose + " and more"), (2, None), (3, ""), (4, "some line of its own\nand another one"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "7 as score", "'r' as removed", "true as held_out", "8 as predicted", "'f' as fp", "'k' as _want")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        got = out.collect()
+        assert out.columns == docs.columns and {(r["score"], r["removed"], r["predicted"], r["fp"], r["_want"]) for r in got} <= {(7, "r", 8, "f", "k")}
+        assert len(got) <= len(rows) and any(r["doc_id"] is None for r in got) and sum(r["doc_id"] == 1 for r in got) == 2, name
+        assert stage(spark, docs.limit(0), SF).count() == 0
+    packed = corpus_pipeline.pack(spark, docs, SF)
+    assert packed.where("piece = 0").count() == len(rows) and corpus_pipeline.pack(spark, docs.limit(0), SF).count() == 0
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0

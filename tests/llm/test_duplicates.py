@@ -110,6 +110,20 @@ def test_links_connect_what_brute_force_does(spark):
         assert all(((x ^ y) & (1 << 64) - 1).bit_count() <= 4 for x, y in found)
 
 
+def test_links_with_blanked_bits(spark, monkeypatch):
+    """Thresholds above 0, unequal, with a part that is not probed at all."""
+    values = near_values(random.Random(8), 60, 10, 4)
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    df = spark.createDataFrame([(v,) for v in signed], "fp long")
+    a = np.array(values, np.uint64)
+    edges = [(signed[i], signed[j]) for i in range(len(a)) for j in np.flatnonzero(np.bitwise_count(a ^ a[i]) <= 4) if j > i]
+    parts = [list(range(0, 30)), list(range(30, 50)), list(range(50, 58))]
+    for thresholds in ((2, 1), (1, 1, 0)):
+        monkeypatch.setattr(simhash, "plan_parts", lambda *_, t=thresholds: list(zip(parts, t)))
+        found = [tuple(r) for r in simhash.hamming_links(df, 4, 64).collect()]
+        assert sum(t + 1 for t in thresholds) == 5 and brute_components(signed, found) == brute_components(signed, edges)
+
+
 def test_plans_obey_the_pigeonhole():
     rng = np.random.default_rng(1)
     bits = (rng.random((2000, 64)) < rng.random(64)).astype(float)
