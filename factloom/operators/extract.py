@@ -260,9 +260,13 @@ def resolve_classes(guesses: DataFrame, nodes: DataFrame) -> DataFrame:
     asked = guesses.where("guess is not null").select("guess").distinct().withColumn("simple", F.element_at(F.split("guess", r"\."), -1))
     target = F.struct(c("node_id").alias("id"), c("qualified_name").alias("name"))
     exact = asked.join(only, c("guess") == c("qualified_name")).groupBy("guess").agg(F.min(target).alias("t")).withColumn("rank", F.lit(0))
-    near = asked.join(only, c("simple") == c("display_name"))
-    alone = near.groupBy("guess").agg(F.count("*").alias("n"), F.min(target).alias("t")).where("n = 1").select("guess", "t", F.lit(1).alias("rank"))
-    tail = near.where(F.endswith("qualified_name", F.concat(F.lit("."), "guess"))).groupBy("guess").agg(F.count("*").alias("n"), F.min(target).alias("t")).where("n = 1").select("guess", "t", F.lit(2).alias("rank"))
+    # Classes are counted by what may name them before guesses meet them: a name that many classes share is one row by then.
+    alone = asked.join(only.groupBy(c("display_name").alias("simple")).agg(F.count("*").alias("n"), F.min(target).alias("t")).where("n = 1"), "simple").select("guess", "t", F.lit(1).alias("rank"))
+    parts = F.split("qualified_name", r"\.")
+    tails = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda at: F.array_join(F.slice(parts, at, F.size(parts)), "."))
+    nested = only.where((F.size(parts) > 1) & (c("display_name") == F.element_at(parts, -1)))
+    by_tail = nested.select(F.explode(tails).alias("guess"), target.alias("t")).groupBy("guess").agg(F.count("*").alias("n"), F.min("t").alias("t")).where("n = 1")
+    tail = asked.join(by_tail, "guess").select("guess", "t", F.lit(2).alias("rank"))
     best = union(exact, alone, tail).groupBy("guess").agg(F.min_by("t", "rank").alias("t"))
     return best.select("guess", c("t.id").alias("instance_id"), c("t.name").alias("instance_type"))
 

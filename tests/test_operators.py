@@ -106,3 +106,17 @@ def test_text(spark):
     assert one(tx.without_comments(c), s="a/* x\n*/b// c\nd") == "ab\nd"
     assert one(tx.simple_name(c), s="a.b$C") == "C" and one(tx.line_of(c, F.lit(3)), s="a\nb\nc") == 2
     assert one(tx.under(c, F.lit("a/b")), s="a/b/c") and not one(tx.under(c, F.lit("a/b")), s="a/bc")
+
+
+def test_classes_by_name_and_tail(spark):
+    from factloom.operators.extract import resolve_classes
+
+    names = ["a.Stub", "b.Stub", "b.In.Stub", "c.In.Stub", "a.Only", "Bare"]
+    rows = [(f"JAVA_CLASS:{n}", "JAVA_CLASS", n, n.rsplit(".", 1)[-1]) for n in names] + [("JAVA_ENUM:z.Kind", "JAVA_ENUM", "z.Kind", "Kind")]
+    nodes = spark.createDataFrame(rows, "node_id string, node_type string, qualified_name string, display_name string")
+    guesses = spark.createDataFrame([("a.Stub",), ("Stub",), ("In.Stub",), ("x.Only",), ("b.In.Stub",), ("Bare",), ("Kind",), (None,), ("",)], "guess string")
+    found = {r["guess"]: r["instance_type"] for r in resolve_classes(guesses, nodes).collect()}
+    # x.Only is no class, but only one class is named Only; In.Stub is the tail of two, Stub the name of four.
+    assert found == {"a.Stub": "a.Stub", "x.Only": "a.Only", "b.In.Stub": "b.In.Stub", "Bare": "Bare"}
+    more = nodes.where("qualified_name != 'c.In.Stub'")
+    assert {r["guess"]: r["instance_type"] for r in resolve_classes(guesses, more).collect()}["In.Stub"] == "b.In.Stub"
