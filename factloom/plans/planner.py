@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
+from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.functions import text as tx
@@ -52,11 +53,18 @@ def merge_repositories(sources: list[tuple[str, DataFrame]]) -> DataFrame:
     return out.groupBy("path").agg(F.max_by(F.struct("name", "source"), "_rank").alias("r")).select("path", "r.name", "r.source")
 
 
-def inventory(files: DataFrame, whitelist: tuple[str, ...] = ()) -> DataFrame:
-    """(repository, language, files) of (repository, path) rows; files of no known language don't count."""
-    found = files.select("repository", tx.language(F.col("path")).alias("language")).where("language is not null")
-    found = found.where(F.col("language").isin(*whitelist)) if whitelist else found
-    return found.groupBy("repository", "language").agg(F.count("*").alias("files"))
+def inventory(files: DataFrame, *more: str) -> DataFrame:
+    """(repository, language, files) of (repository, path) rows, with ``more`` keys if given; files of no known language don't count."""
+    found = files.select("repository", *more, tx.language(F.col("path")).alias("language")).where("language is not null")
+    return found.groupBy("repository", *more, "language").agg(F.count("*").alias("files"))
+
+
+def selected(rule: Repository, default_exclude: tuple[str, ...]) -> Column:
+    """Whether a repository's settings take the file of a ``path`` below it."""
+    path = F.col("path")
+    inside = reduce(lambda a, b: a | b, [tx.under(path, F.lit(folder)) for folder in rule.include], F.lit(not rule.include))
+    known = tx.language(path).isin(*rule.languages) if rule.languages else F.lit(True)
+    return inside & known & ~tx.is_excluded(path, [*default_exclude, *rule.exclude])
 
 
 def capability_tasks(counted: DataFrame, needs: DataFrame, parsers: DataFrame) -> DataFrame:
@@ -92,20 +100,13 @@ def build_plan(spark: SparkSession, config: Config, registry: Registry, files: D
     located = longest_prefix(files.select("path"), roots.select("prefix", "repository", F.col("prefix").alias("root")), "path", "prefix", "repository", "root").where("repository is not null").persist()
     seen = available if available is not None else {r[0] for r in located.select("root").distinct().collect()}
     repositories = tuple(replace(r, status="available" if r.path in seen else "missing") for r in repositories)
-    chosen = None
-    for r in (r for r in repositories if r.enabled and r.status == "available"):
-        relative = F.substring("path", len(r.path) + 2, 1 << 20)
-        rows = located.where(F.col("root") == r.path).select(F.lit(r.name).alias("repository"), relative.alias("path"))
-        if r.include:
-            inside = F.lit(False)
-            for folder in r.include:
-                inside = inside | tx.under(F.col("path"), F.lit(folder))
-            rows = rows.where(inside)
-        rows = rows.where(~tx.is_excluded(F.col("path"), [*config.default_exclude, *r.exclude]))
-        counted = inventory(rows, r.languages).withColumn("path", F.lit(r.path))
-        chosen = counted if chosen is None else chosen.unionByName(counted)
-    if chosen is None:
-        chosen = spark.createDataFrame([], "repository string, language string, files long, path string")
+    # One pass over the files for all repositories: those with the same settings share a rule, and most have none of their own.
+    active = [r for r in repositories if r.enabled and r.status == "available"]
+    rules = {(r.include, r.exclude, r.languages): r for r in active}
+    ruled = spark.createDataFrame([(r.path, list(rules).index((r.include, r.exclude, r.languages))) for r in active], "root string, rule int")
+    rows = located.join(ruled, "root").select("repository", "root", "rule", F.expr("substring(path, length(root) + 2)").alias("path"))
+    taken = reduce(lambda a, b: a | b, [(F.col("rule") == i) & selected(r, config.default_exclude) for i, r in enumerate(rules.values())], F.lit(False))
+    chosen = inventory(rows.where(taken), "root").select("repository", "language", "files", F.col("root").alias("path"))
     needs = spark.createDataFrame([(lang, c) for lang, cs in CAPABILITIES.items() for c in cs], "language string, capability string")
     parsers = spark.createDataFrame(registry.rows() or [("", "", "")], "language string, capability string, parser string")
     tasks = capability_tasks(chosen, needs, parsers).select("repository", "path", "language", "capability", "parser", "status", "files")
