@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.functions import text as tx
@@ -278,8 +278,8 @@ def latest_build(spark: SparkSession, d: str) -> DataFrame:
 
 @registered(graph_sql("SELECT count(*) AS local_services, count(*) >= 1 AS passed FROM edge WHERE edge_type = 'EXPOSED_AS_LOCAL_SERVICE'"))
 def scalar_gate(spark: SparkSession, d: str) -> DataFrame:
-    n = F.count("*")
-    return warehouse_graph(spark, d).links("EXPOSED_AS_LOCAL_SERVICE").agg(n.alias("local_services"), (n >= 1).alias("passed"))
+    n = integrity.gate(warehouse_graph(spark, d).links("EXPOSED_AS_LOCAL_SERVICE"), 1, "local services")
+    return spark.range(1).select(F.lit(n).cast("long").alias("local_services"), F.lit(n >= 1).alias("passed"))
 
 
 @registered(graph_sql("SELECT edge_type, from_node_id, to_node_id, sha256(edge_type || '|' || from_node_id || '|' || to_node_id || '|' || coalesce(source_path, '') || '|' || coalesce(CAST(nullif(line_start, 0) AS VARCHAR), '')) AS edge_id, sha256(edge_type || '|' || from_node_id || '|' || to_node_id || '|{}') AS content_hash FROM edge"))
@@ -297,16 +297,22 @@ def content_hash(spark: SparkSession, d: str) -> DataFrame:
 @registered("""SELECT CASE WHEN grouping(o_orderpriority) = 0 THEN 'api' WHEN grouping(o_orderstatus) = 0 THEN 'status' ELSE 'kind' END AS dimension, coalesce(o_orderpriority, o_orderstatus, CAST(k AS VARCHAR)) AS value, count(*) AS count
   FROM (SELECT o_orderpriority, o_orderstatus, o_orderkey % 2 AS k FROM orders) GROUP BY GROUPING SETS ((o_orderpriority), (o_orderstatus), (k))""")
 def grouping_counters(spark: SparkSession, d: str) -> DataFrame:
-    orders = table(spark, d, "orders").select("o_orderpriority", "o_orderstatus", (F.col("o_orderkey") % 2).cast("string").alias("k"))
-    c = [F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("k")]
-    counted = orders.groupingSets([[x] for x in c], *c).agg(F.count("*").alias("count"), F.when(F.grouping("o_orderpriority") == 0, "api").when(F.grouping("o_orderstatus") == 0, "status").otherwise("kind").alias("dimension"))
-    return counted.select("dimension", F.coalesce(*c).alias("value"), "count")
+    """Orders as registrations."""
+    from factloom.plans.report import registration_counters
+
+    kind = (F.col("o_orderkey") % 2).cast("string")
+    orders = table(spark, d, "orders").select(F.col("o_orderpriority").alias("api"), F.col("o_orderstatus").alias("resolution_status"), kind.alias("service_kind"), F.lit(False).alias("is_test"))
+    return registration_counters(orders).select(F.substring_index("counter", ":", 1).alias("dimension"), F.regexp_extract("counter", "(?s)^[^:]*:(.*)$", 1).alias("value"), "count")
 
 
 @registered("SELECT count(*) FILTER (WHERE l_returnflag = 'R') AS extends, count(*) FILTER (WHERE l_returnflag = 'A') AS implements, count(*) FILTER (WHERE l_returnflag NOT IN ('R', 'A')) AS unresolved FROM lineitem")
 def conditional_counts(spark: SparkSession, d: str) -> DataFrame:
-    flag = F.col("l_returnflag")
-    return table(spark, d, "lineitem").agg(F.count_if(flag == "R").alias("extends"), F.count_if(flag == "A").alias("implements"), F.count_if(~flag.isin("R", "A")).alias("unresolved"))
+    """Returned lines as EXTENDS, accepted ones as IMPLEMENTS_JAVA_INTERFACE, others as unresolved."""
+    from factloom.plans.report import inheritance_summary
+
+    flag, lines = F.col("l_returnflag"), table(spark, d, "lineitem").select("l_returnflag")
+    resolved = lines.where(flag.isin("R", "A")).select(F.when(flag == "R", "EXTENDS").otherwise("IMPLEMENTS_JAVA_INTERFACE").alias("edge_type"))
+    return inheritance_summary(resolved, lines.where(~flag.isin("R", "A")))
 
 
 @registered("SELECT l_orderkey AS interface, count(*) AS method_count, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_linenumber, l_partkey) AS methods FROM lineitem GROUP BY 1")
@@ -340,8 +346,13 @@ def capability_matrix(spark: SparkSession, d: str) -> DataFrame:
 
 @registered("SELECT s_suppkey, s_name FROM supplier WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey = s_suppkey AND l_quantity > 49)")
 def scheduled_repos(spark: SparkSession, d: str) -> DataFrame:
-    tasks = table(spark, d, "lineitem").where("l_quantity > 49").select(F.col("l_suppkey").alias("s_suppkey"))
-    return table(spark, d, "supplier").select("s_suppkey", "s_name").join(tasks, "s_suppkey", "left_semi")
+    """Suppliers as repositories, their lines as tasks, large ones scheduled."""
+    from factloom.plans.planner import repositories_for
+
+    status = F.when(F.col("l_quantity") > 49, "scheduled").otherwise("unsupported")
+    tasks = table(spark, d, "lineitem").select(F.col("l_suppkey").cast("string").alias("repository"), F.lit("java").alias("language"), F.lit("symbols").alias("capability"), status.alias("status"))
+    suppliers = table(spark, d, "supplier").select("s_suppkey", "s_name", F.col("s_suppkey").cast("string").alias("name"), F.lit(True).alias("enabled"), F.lit("available").alias("status"))
+    return repositories_for(suppliers, tasks, "java", "symbols").select("s_suppkey", "s_name")
 
 
 @registered("""SELECT coalesce(a.p_partkey, b.p_partkey) AS p_partkey, CASE WHEN a.p_partkey IS NULL THEN 'added' WHEN b.p_partkey IS NULL THEN 'removed' ELSE 'modified' END AS change
@@ -421,8 +432,8 @@ def top_k(spark: SparkSession, d: str) -> DataFrame:
 @registered("SELECT conv_id, turn, max(CASE WHEN role = 'user' THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS last_user_turn FROM conversations")
 def last_declaration(spark: SparkSession, d: str) -> DataFrame:
     """The last user turn at or before each turn, as a declaration before its use."""
-    window = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
-    return table(spark, d, "conversations").select("conv_id", "turn", F.last(F.when(F.col("role") == "user", F.col("turn")), True).over(window).alias("last_user_turn"))
+    turns = table(spark, d, "conversations")
+    return match.asof(turns.select("conv_id", "turn"), turns.where("role = 'user'").select("conv_id", "turn", F.col("turn").alias("last_user_turn")), "conv_id", "turn", "last_user_turn")
 
 
 @registered("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) < 10")
@@ -508,3 +519,36 @@ def full_graph_build(spark: SparkSession, d: str) -> DataFrame:
 
     graph, _ = build_graph(spark, _tags(spark, d), _sources(spark, d))
     return graph.edges.groupBy("edge_type").agg(F.count("*").alias("count"))
+
+
+#: Names of what the sources of part p declare.
+BUILT = """p AS (SELECT p_partkey AS k, 'java/' || p_partkey || '.java' AS path, 'com.p' || (p_partkey % 5) || '.S' || p_partkey AS cls,
+  'com.p' || ((p_partkey - 1) % 5) || '.S' || (p_partkey - 1) AS parent FROM part)"""
+
+
+@registered(f"""WITH {BUILT} SELECT t.type || ':' || cls || tail AS node_id, t.type AS node_type, cls || tail AS qualified_name, coalesce(name, 'S' || k) AS display_name, path AS source_path, CAST(line AS BIGINT) AS line_start
+  FROM p, (VALUES ('JAVA_CLASS', '', NULL, 4), ('JAVA_METHOD', '#go()', 'go', 7), ('JAVA_FIELD', '#NAME', 'NAME', 5)) t(type, tail, name, line)""")
+def built_symbols(spark: SparkSession, d: str) -> DataFrame:
+    """Symbol nodes of the whole build, by content."""
+    from factloom.operators.extract import build_graph
+
+    graph, _ = build_graph(spark, _tags(spark, d), _sources(spark, d))
+    return graph.of_type("JAVA_CLASS", "JAVA_METHOD", "JAVA_FIELD").select("node_id", "node_type", "qualified_name", "display_name", "source_path", "line_start")
+
+
+@registered(f"""WITH {BUILT}, e AS (SELECT 'HAS_METHOD' AS edge_type, 'JAVA_CLASS:' || cls AS from_node_id, 'JAVA_METHOD:' || cls || '#go()' AS to_node_id, path AS source_path, 7 AS line_start FROM p
+  UNION ALL SELECT 'HAS_MEMBER', 'JAVA_CLASS:' || cls, 'JAVA_FIELD:' || cls || '#NAME', path, 5 FROM p
+  UNION ALL SELECT 'EXTENDS', 'JAVA_CLASS:' || cls, 'JAVA_CLASS:' || parent, path, 4 FROM p WHERE k % 5 <> 0
+  UNION ALL SELECT 'IMPLEMENTS_BINDER', 'JAVA_CLASS:' || cls, 'AIDL_INTERFACE:com.aidl.I' || (k % 7), path, NULL FROM p
+  UNION ALL SELECT 'REGISTERED_AS', 'JAVA_CLASS:' || cls, 'BINDER_SERVICE_NAME:svc' || k, path, 8 FROM p
+  UNION ALL SELECT 'EXPOSED_AS_LOCAL_SERVICE', 'JAVA_CLASS:' || cls, 'LOCAL_SERVICE_KEY:' || cls, path, 10 FROM p
+  UNION ALL SELECT 'REQUIRES_PERMISSION', 'JAVA_METHOD:' || cls || '#go()', 'PERMISSION:perm.' || (k % 3), path, 6 FROM p
+  UNION ALL SELECT 'ENFORCES_PERMISSION', 'JAVA_METHOD:' || cls || '#go()', 'PERMISSION:perm.' || (k % 4), path, 9 FROM p)
+  SELECT edge_type, from_node_id, to_node_id, source_path, CAST(line_start AS BIGINT) AS line_start, sha256(edge_type || '|' || from_node_id || '|' || to_node_id || '|' || source_path || '|' || coalesce(CAST(line_start AS VARCHAR), '')) AS edge_id FROM e""")
+def built_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Edges of the whole build, by content, but for those that say where a thing is declared."""
+    from factloom.operators.extract import build_graph
+
+    graph, _ = build_graph(spark, _tags(spark, d), _sources(spark, d))
+    kinds = ("HAS_METHOD", "HAS_MEMBER", "EXTENDS", "IMPLEMENTS_BINDER", "REGISTERED_AS", "EXPOSED_AS_LOCAL_SERVICE", "REQUIRES_PERMISSION", "ENFORCES_PERMISSION")
+    return graph.links(*kinds).select("edge_type", "from_node_id", "to_node_id", "source_path", "line_start", "edge_id")
