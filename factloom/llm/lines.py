@@ -177,7 +177,7 @@ def occurrences(docs: DataFrame, least: int) -> DataFrame:
 ROW = np.dtype([("key", "<i8"), ("id", "<i8"), ("sketch", "<i8")])
 
 
-def join_rows(docs: DataFrame, edits: int, least: int, bins: int, batch_chars: int = 1 << 20, batch_rows: int = 1 << 20) -> DataFrame:
+def join_rows(docs: DataFrame, edits: int, least: int, bins: int, batch_chars: int = 1 << 18, batch_rows: int = 1 << 18) -> DataFrame:
     """(bin, rows): the index rows and probes of every line, many in one value, dealt by key into ``bins``.
 
     Lines that a task has just met are not sent again, so a line that fills the
@@ -215,8 +215,8 @@ def join_rows(docs: DataFrame, edits: int, least: int, bins: int, batch_chars: i
             cut = np.union1d(cut, np.arange(0, len(rows), 1024))  # small values make small batches
             ends = np.append(cut, len(rows)) * ROW.itemsize
             values = pa.Array.from_buffers(pa.large_binary(), len(cut), [None, pa.py_buffer(ends.astype(np.int64).tobytes()), pa.py_buffer(rows.tobytes())])
-            for at in range(0, len(cut), 4096):
-                yield pa.RecordBatch.from_arrays([pa.array(home[cut[at : at + 4096]].astype(np.int64)), values.slice(at, 4096).cast(pa.binary())], ["bin", "rows"])
+            for at in range(0, len(cut), 256):
+                yield pa.RecordBatch.from_arrays([pa.array(home[cut[at : at + 256]].astype(np.int64)), values.slice(at, 256).cast(pa.binary())], ["bin", "rows"])
 
         lines, chars = [], 0
         for batch in batches:
