@@ -31,19 +31,27 @@ def implementations_of(graph: Graph, interface: str) -> DataFrame:
     return found.select(F.col("source.qualified_name").alias("implementation"), F.col("target.qualified_name").alias("binder_interface"), F.col("source.source_path").alias("source_path")).orderBy("implementation")
 
 
-def _registrations(graph: Graph, link: str, key_edge: str, keys: Column) -> DataFrame:
-    """(impl, key, registration) ids and names where one registration has both the key and the instance of a link.
+def _places(graph: Graph, key_edge: str, keys: DataFrame | None = None) -> DataFrame:
+    """(impl, key, source_path, line_start) of every registration, by the key and the instance that it has; of some ``keys`` (key, ...) with their columns.
 
-    Written from the selective end: the keys, then the links, then the
-    registrations by the composite key, so that no step multiplies rows.
+    Joined by the registration, which has few of either, so that keys of many registrations multiply no rows.
     """
-    key_nodes = graph.nodes.where(keys).select(F.col("node_id").alias("key"), F.col("qualified_name").alias("key_name"))
-    registered = graph.links(link).select(F.col("from_node_id").alias("impl"), F.col("to_node_id").alias("key")).join(key_nodes, "key")
     by_key = graph.links(key_edge).select(F.col("from_node_id").alias("registration"), F.col("to_node_id").alias("key"))
+    by_key = by_key if keys is None else by_key.join(keys, "key")
     by_instance = graph.links("REGISTERS_INSTANCE").select(F.col("from_node_id").alias("registration"), F.col("to_node_id").alias("impl"))
     places = graph.of_type("SERVICE_REGISTRATION").select(F.col("node_id").alias("registration"), "source_path", "line_start")
+    return by_key.join(by_instance, "registration").join(places, "registration").drop("registration")
+
+
+def _registrations(graph: Graph, link: str, key_edge: str, keys: Column) -> DataFrame:
+    """(impl, key) ids and names, and places, where one registration has both the key and the instance of a link.
+
+    Written from the selective end: the keys, then their registrations, then the links by the composite key.
+    """
+    key_nodes = graph.nodes.where(keys).select(F.col("node_id").alias("key"), F.col("qualified_name").alias("key_name"))
     impls = graph.nodes.select(F.col("node_id").alias("impl"), F.col("qualified_name").alias("implementation"))
-    return registered.join(by_key, "key").join(by_instance, ["registration", "impl"]).join(places, "registration").join(impls, "impl")
+    registered = graph.links(link).select(F.col("from_node_id").alias("impl"), F.col("to_node_id").alias("key"))
+    return _places(graph, key_edge, key_nodes).join(registered, ["impl", "key"]).join(impls, "impl")
 
 
 def service_chain(graph: Graph, service: str | None = None) -> DataFrame:
