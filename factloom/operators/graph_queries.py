@@ -103,7 +103,7 @@ def local_services(graph: Graph, limit: int | None = 100, parity: bool = False)
         # Each of these rows meets the same registrations: the first ``limit`` of them are enough.
         places = graph.of_type("SERVICE_REGISTRATION").select("source_path", "line_start").orderBy("source_path", "line_start").limit(limit)
         return first.join(F.broadcast(places), F.lit(True), "left").select(*order).orderBy(*order).limit(limit)
-    found = exposed.join(_registrations(graph, "EXPOSED_AS_LOCAL_SERVICE", "REGISTERS_LOCAL_KEY", F.lit(True)).select("impl", "key", "source_path", "line_start"), ["impl", "key"], "left")
+    found = exposed.join(_places(graph, "REGISTERS_LOCAL_KEY"), ["impl", "key"], "left")
     out = found.select(*order).orderBy(*order)
     return out.limit(limit) if limit is not None else out
 

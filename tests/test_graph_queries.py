@@ -38,3 +38,14 @@ def test_service_of_many_registrations_multiplies_no_rows(spark):
     g = graph(spark, nodes, edges)
     chain = gq.service_chain(g)
     assert most_rows(chain) <= 1000 and {tuple(r) for r in chain.collect()} == {("key", f"c{i}", None, "p", i) for i in range(200)}
+
+
+def test_local_service_exposed_twice_gives_two_rows_a_registration(spark):
+    nodes, edges = crowd(spark, 2, "EXPOSED_AS_LOCAL_SERVICE", "REGISTERS_LOCAL_KEY")
+    g = graph(spark, nodes, edges + [("EXPOSED_AS_LOCAL_SERVICE", "c0", "k"), ("EXPOSED_AS_LOCAL_SERVICE", "r0", "k")])
+    assert [tuple(r) for r in gq.local_services(g, None).collect()] == [("key", "c0", "p", 0)] * 2 + [("key", "c1", "p", 1), ("key", "r0", None, None)]
+
+
+def test_local_service_key_of_many_registrations_multiplies_no_rows(spark):
+    g = graph(spark, *crowd(spark, 200, "EXPOSED_AS_LOCAL_SERVICE", "REGISTERS_LOCAL_KEY"))
+    assert most_rows(gq.local_services(g, None)) <= 1000
