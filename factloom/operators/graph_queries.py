@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factloom.graph import Graph
-from factloom.operators.closure import closure
+from factloom.operators.closure import closure, settle
 
 REGISTRATION_TYPES = ("SERVICE_REGISTRATION", "BINDER_SERVICE_NAME", "LOCAL_SERVICE_KEY")
 REGISTRATION_EDGES = ("REGISTERS_BINDER_NAME", "REGISTERS_LOCAL_KEY", "REGISTERS_INSTANCE", "REGISTERED_AS", "EXPOSED_AS_LOCAL_SERVICE")
@@ -79,7 +79,11 @@ def inherited_service_chain(graph: Graph, service: str | None = None, guard: str
     chain = _registrations(graph, "REGISTERED_AS", "REGISTERS_BINDER_NAME", F.col("qualified_name") == service if service is not None else F.lit(True))
     names = lambda a, b: graph.nodes.select(F.col("node_id").alias(a), F.col("qualified_name").alias(b))
     binder = graph.links("IMPLEMENTS_BINDER").select(F.col("from_node_id").alias("ancestor_id"), F.col("to_node_id").alias("aidl"))
-    walked = closure(graph.links("EXTENDS"), guard=guard).withColumnRenamed("class_id", "impl")
+    starts = None
+    if service is not None:  # the walks of one service's classes are few
+        chain = settle(chain)
+        starts = chain.select("impl")
+    walked = closure(graph.links("EXTENDS"), guard=guard, starts=starts).withColumnRenamed("class_id", "impl")
     full = chain.join(walked, "impl").join(binder, "ancestor_id").join(names("ancestor_id", "binder_base"), "ancestor_id").join(names("aidl", "binder_interface"), "aidl")
     return full.select(F.col("key_name").alias("service_name"), "implementation", "binder_base", "binder_interface", "depth", "source_path", "line_start").distinct().orderBy("depth", "implementation", "source_path", "line_start")
 

@@ -49,3 +49,15 @@ def test_local_service_exposed_twice_gives_two_rows_a_registration(spark):
 def test_local_service_key_of_many_registrations_multiplies_no_rows(spark):
     g = graph(spark, *crowd(spark, 200, "EXPOSED_AS_LOCAL_SERVICE", "REGISTERS_LOCAL_KEY"))
     assert most_rows(gq.local_services(g, None)) <= 1000
+
+
+def test_inherited_chain_walks_from_the_service_alone(spark, monkeypatch):
+    nodes, edges = crowd(spark, 3, "REGISTERED_AS", "REGISTERS_BINDER_NAME")
+    edges += [("EXTENDS", "c0", "c1"), ("EXTENDS", "c1", "c2"), ("EXTENDS", "c2", "x"), ("EXTENDS", "y", "x"), ("IMPLEMENTS_BINDER", "x", "a"), ("REGISTERED_AS", "y", "other"), ("REGISTERS_BINDER_NAME", "ry", "other"), ("REGISTERS_INSTANCE", "ry", "y")]
+    nodes += [("x", "JAVA_CLASS", "x", None, None), ("y", "JAVA_CLASS", "y", None, None), ("a", "AIDL_INTERFACE", "a", None, None), ("other", "KEY", "other", None, None), ("ry", "SERVICE_REGISTRATION", "ry", "q", 9)]
+    g, walks = graph(spark, nodes, edges), []
+    monkeypatch.setattr(gq, "closure", lambda *a, f=gq.closure, **b: walks.append(f(*a, **b)) or walks[-1])
+    want = [("key", f"c{i}", "x", "a", 3 - i, "p", i) for i in (2, 1, 0)]
+    assert [tuple(r) for r in gq.inherited_service_chain(g, "key").collect()] == want
+    assert {r["class_id"] for r in walks[-1].collect()} == {"c0", "c1", "c2"}
+    assert [tuple(r) for r in gq.inherited_service_chain(g).collect()] == sorted([*want, ("other", "y", "x", "a", 1, "q", 9)], key=lambda r: (r[4], r[1]))
