@@ -24,6 +24,8 @@ from .common import packed, text_of, unpacked
 TERMS, SHAPES = 2048, 4
 #: Weight of a whole share beside the unit vector of the terms.
 SHAPE_WEIGHT = 2.0
+#: Training rows that are unpacked at a time.
+STEP = 512
 #: 1 for A-Z, 2 for 0-9, 3 for other ASCII marks, 0 for the rest.
 BYTE_KINDS = np.array([1 if chr(b).isupper() else 2 if chr(b).isdigit() else 3 if 32 < b < 127 and not chr(b).isalpha() else 0 for b in range(128)] + [0] * 128)
 
@@ -78,6 +80,44 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 5 == 0
 
 
+def leading(square: np.ndarray, n: int, spare: int = 80, rounds: int = 300) -> np.ndarray:
+    """The eigenvectors of the ``n`` largest eigenvalues of a symmetric positive matrix, the largest first.
+
+    By subspace iteration with ``spare`` further vectors, until the eigenvalues
+    stand still: a whole decomposition would hold several copies of the matrix.
+    """
+    last = np.zeros(n)
+    basis = np.random.default_rng(0).standard_normal((len(square), min(n + spare, len(square))))
+    for _ in range(rounds):
+        basis, _ = np.linalg.qr(square @ basis)
+        image = square @ basis
+        values, turn = np.linalg.eigh(basis.T @ image)
+        values, basis = values[::-1][:n], image @ turn[:, ::-1]
+        if np.allclose(values, last, rtol=1e-13, atol=1e-13 * values[0]):
+            break
+        last = values
+    return np.linalg.qr(basis)[0][:, :n]
+
+
+def learnt(counts: np.ndarray, labels: np.ndarray, dims: int) -> VotingModel:
+    """The model of the two-byte counts and labels of the training rows.
+
+    Wide copies are made of ``STEP`` rows at a time: the driver's memory is scarce.
+    """
+    if not len(counts):
+        return VotingModel(np.ones(TERMS, np.float32), np.zeros((TERMS + SHAPES, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), 0.5)
+    parts = [counts[at : at + STEP] for at in range(0, len(counts), STEP)]
+    idf = (np.log((1 + len(counts)) / (1 + sum((x[:, :TERMS] > 0).sum(axis=0) for x in parts))) + 0.1).astype(np.float32)
+    products = np.zeros((TERMS + SHAPES, TERMS + SHAPES))
+    for x in parts:
+        weighted = weigh(x.astype(np.float32), idf)
+        products += weighted.T @ weighted
+    basis = np.ascontiguousarray(leading(products, min(dims, len(counts))), np.float32)
+    model = VotingModel(idf, basis, np.zeros((0, basis.shape[1])), labels, float(labels.mean()))
+    model.vectors = np.concatenate([model.project(x.astype(np.float32)) for x in parts])
+    return model
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000, dims: int = 48, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> VotingModel:
     """Fit on at most ``sample`` labelled rows outside the held-out fold, those of the smallest id hashes.
 
@@ -96,16 +136,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 4000, dims: in
         return batch.map(lambda t: term_counts(t).astype(np.float16).tobytes())
 
     rows = texts.select("_id", "_label", counted("_text").alias("c")).toPandas().sort_values("_id", kind="stable")
-    if rows.empty:
-        return VotingModel(np.ones(TERMS, np.float32), np.zeros((TERMS + SHAPES, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0), 0.5)
-    counts = np.stack([np.frombuffer(c, np.float16) for c in rows["c"]]).astype(np.float32)
-    idf = (np.log((1 + len(counts)) / (1 + (counts[:, :TERMS] > 0).sum(axis=0))) + 0.1).astype(np.float32)
-    weighted = weigh(counts, idf)
-    _, vectors = np.linalg.eigh((weighted.T @ weighted).astype(np.float64))
-    basis = np.ascontiguousarray(vectors[:, ::-1][:, : min(dims, len(counts))], np.float32)
-    model = VotingModel(idf, basis, np.zeros((0, basis.shape[1])), rows["_label"].to_numpy(float), float(rows["_label"].mean()))
-    model.vectors = model.project(counts)
-    return model
+    counts, found = np.empty((len(rows), TERMS + SHAPES), np.float16), rows.pop("c")
+    for i, c in enumerate(found):
+        counts[i] = np.frombuffer(c, np.float16)
+    del found
+    return learnt(counts, rows["_label"].to_numpy(float), dims)
 
 
 def score_quality(docs: DataFrame, model: VotingModel, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

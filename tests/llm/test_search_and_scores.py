@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from factloom.llm import quality
 from factloom.llm.neighbours import fit_quantiser, nearest, unit_rows
 from factloom.llm.pseudonyms import luhn_digit, permute, permute_characters, pseudonymise, pseudonymise_documents
 from factloom.llm.quality import fit_quality, score_quality, term_counts
@@ -214,3 +215,25 @@ def test_pseudonymised_documents(spark):
     assert pseudonymise_documents(df.limit(0), KEY).count() == 0
     with pytest.raises(ValueError):
         pseudonymise_documents(df, b"")
+
+
+def test_fit_holds_little_at_a_time():
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    counts = np.log1p(rng.poisson(0.3, (4000, quality.TERMS + quality.SHAPES))).astype(np.float16)
+    labels = (rng.random(4000) < 0.5).astype(float)
+    tracemalloc.start()
+    model = quality.learnt(counts, labels, 48)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 90e6 and model.vectors.shape == (4000, 48)
+
+
+@pytest.mark.parametrize("rows", [1, 3, 40, 400])
+def test_leading_vectors_equal_the_whole_decomposition(rows):
+    wide = np.random.default_rng(rows).standard_normal((rows, 300)) * np.linspace(3, 0.1, 300)
+    square, n = wide.T @ wide, min(20, rows)
+    values, vectors = np.linalg.eigh(square)
+    got = quality.leading(square, n)
+    assert np.allclose(got.T @ got, np.eye(n)) and np.allclose(got @ got.T, vectors[:, ::-1][:, :n] @ vectors[:, ::-1][:, :n].T, atol=1e-4)
