@@ -55,7 +55,7 @@ def closure(edges: DataFrame, depth: int = 20, guard: str = "exact", distinct_pa
 
 
 def closure_sql(spark: SparkSession, edges: DataFrame, depth: int = 20) -> DataFrame:
-    """The same closure (exact guard) as one recursive query, for graphs within Spark's recursion limits."""
+    """The same closure (exact guard) as one recursive query; LIMIT ALL lifts the limit of a million rows that Spark sets by itself."""
     return spark.sql(
         """
         WITH RECURSIVE walk(class_id, ancestor_id, depth, visited) AS (
@@ -64,7 +64,7 @@ def closure_sql(spark: SparkSession, edges: DataFrame, depth: int = 20) -> DataF
           SELECT w.class_id, e.to_node_id, w.depth + 1, array_append(w.visited, e.to_node_id)
           FROM walk w JOIN {edges} e ON e.from_node_id = w.ancestor_id
           WHERE w.depth < {depth} AND NOT array_contains(w.visited, e.to_node_id))
-        SELECT class_id, ancestor_id, depth FROM walk""",
+        SELECT class_id, ancestor_id, depth FROM walk LIMIT ALL""",
         edges=edges, depth=depth,
     )
 

@@ -37,6 +37,16 @@ def test_closure_depth(spark):
     assert max(r[2] for r in closure(chain).collect()) == 20 and closure(chain).count() == sum(min(25 - i, 20) for i in range(25))
 
 
+def test_recursive_query_of_more_rows_than_the_limit(spark):
+    chain, limit = pairs(spark, *[(f"n{i:02}", f"n{i + 1:02}") for i in range(60)]), "spark.sql.cteRecursionRowLimit"
+    old = spark.conf.get(limit)
+    spark.conf.set(limit, 100)
+    try:
+        assert rows(closure_sql(spark, chain)) == rows(closure(chain))
+    finally:
+        spark.conf.set(limit, old)
+
+
 def test_substring_guard(spark):
     edges = pairs(spark, ("X:a.Bc", "X:q"), ("X:q", "X:a.B"))
     assert ("X:a.Bc", "X:a.B", 2) in rows(closure(edges)) and ("X:a.Bc", "X:a.B", 2) not in rows(closure(edges, guard="substring"))
