@@ -99,10 +99,9 @@ def service_chain(spark: SparkSession, d: str) -> DataFrame:
 
 @registered(graph_sql(f"""SELECT DISTINCT s.qualified_name AS service_name, i.qualified_name AS implementation, b.qualified_name AS binder_base, a.qualified_name AS binder_interface, w.depth, g.source_path, g.line_start
   {CHAIN.format(key='REGISTERS_BINDER_NAME')} JOIN walk w ON w.class_id = i.node_id JOIN edge e ON e.from_node_id = w.ancestor_id AND e.edge_type = 'IMPLEMENTS_BINDER'
-  JOIN node b ON b.node_id = w.ancestor_id JOIN node a ON a.node_id = e.to_node_id WHERE r.edge_type = 'REGISTERED_AS' AND s.qualified_name = (SELECT min(p_type) FROM part)""", WALK, recursive=True))
+  JOIN node b ON b.node_id = w.ancestor_id JOIN node a ON a.node_id = e.to_node_id WHERE r.edge_type = 'REGISTERED_AS'""", WALK, recursive=True))
 def inherited_service_chain(spark: SparkSession, d: str) -> DataFrame:
-    service = table(spark, d, "part").agg(F.min("p_type")).first()[0]
-    return gq.inherited_service_chain(warehouse_graph(spark, d), service)
+    return gq.inherited_service_chain(warehouse_graph(spark, d))
 
 
 @registered(graph_sql(f"""SELECT s.qualified_name AS local_service_key, i.qualified_name AS implementation, g.source_path, g.line_start {CHAIN.format(key='REGISTERS_LOCAL_KEY')}

@@ -75,17 +75,21 @@ def transitive_binder(graph: Graph, implementation: str | None = None, guard: st
 
 
 def inherited_service_chain(graph: Graph, service: str | None = None, guard: str = "exact") -> DataFrame:
-    """Registered services whose implementation gets its interface from an ancestor (depth 1 or more)."""
+    """Registered services whose implementation gets its interface from an ancestor (depth 1 or more).
+
+    Ancestors meet their interfaces and names before the registrations, which are many and move once, by implementation.
+    """
     chain = _registrations(graph, "REGISTERED_AS", "REGISTERS_BINDER_NAME", F.col("qualified_name") == service if service is not None else F.lit(True))
     names = lambda a, b: graph.nodes.select(F.col("node_id").alias(a), F.col("qualified_name").alias(b))
     binder = graph.links("IMPLEMENTS_BINDER").select(F.col("from_node_id").alias("ancestor_id"), F.col("to_node_id").alias("aidl"))
+    interfaces = binder.join(names("aidl", "binder_interface"), "aidl").join(names("ancestor_id", "binder_base"), "ancestor_id")
     starts = None
     if service is not None:  # the walks of one service's classes are few
         chain = settle(chain)
         starts = chain.select("impl")
     walked = closure(graph.links("EXTENDS"), guard=guard, starts=starts).withColumnRenamed("class_id", "impl")
-    full = chain.join(walked, "impl").join(binder, "ancestor_id").join(names("ancestor_id", "binder_base"), "ancestor_id").join(names("aidl", "binder_interface"), "aidl")
-    return full.select(F.col("key_name").alias("service_name"), "implementation", "binder_base", "binder_interface", "depth", "source_path", "line_start").distinct().orderBy("depth", "implementation", "source_path", "line_start")
+    full = chain.join(walked.join(interfaces, "ancestor_id").select("impl", "binder_base", "binder_interface", "depth"), "impl")
+    return full.select(F.col("key_name").alias("service_name"), "implementation", "binder_base", "binder_interface", "depth", "source_path", "line_start").distinct().orderBy("depth", "implementation", "source_path", "line_start", "service_name", "binder_base", "binder_interface")
 
 
 def local_services(graph: Graph, limit: int | None = 100, parity: bool = False) -> DataFrame:

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import duckdb
+from pyspark.sql import functions as F
+
+from factloom import catalog
 from factloom.graph import Graph
 from factloom.operators import graph_queries as gq
 
@@ -61,3 +67,16 @@ def test_inherited_chain_walks_from_the_service_alone(spark, monkeypatch):
     assert [tuple(r) for r in gq.inherited_service_chain(g, "key").collect()] == want
     assert {r["class_id"] for r in walks[-1].collect()} == {"c0", "c1", "c2"}
     assert [tuple(r) for r in gq.inherited_service_chain(g).collect()] == sorted([*want, ("other", "y", "x", "a", 1, "q", 9)], key=lambda r: (r[4], r[1]))
+
+
+def test_inherited_chain_query_walks_from_every_service(spark):
+    d = "/root/testdata/sf0.001"
+    got = [tuple(r) for r in catalog.QUERIES["inherited_service_chain"](spark, d).collect()]
+    first = spark.read.parquet(f"{d}/lineitem.parquet").where("l_orderkey % 2 = 1").groupBy("l_orderkey").agg(F.min("l_partkey").alias("p_partkey"))
+    kinds = {r[0] for r in first.join(spark.read.parquet(f"{d}/part.parquet"), "p_partkey").select("p_type").distinct().collect()}
+    assert len(kinds) > 1 and {r[0] for r in got} == kinds
+    with duckdb.connect() as db:
+        for p in Path(d).glob("*.parquet"):
+            db.execute(f"CREATE VIEW {p.stem} AS FROM '{p}'")
+        want = db.execute(catalog.ORACLES["inherited_service_chain"]).fetchall()
+    assert got == sorted(want, key=lambda r: (r[4], r[1], r[5], r[6], r[0], r[2], r[3]))
